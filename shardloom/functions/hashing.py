@@ -41,8 +41,10 @@ def path_stem(path: Column) -> Column:
 
 
 def json_text(value: Column) -> Column:
-    """``value`` as a JSON string literal."""
-    return F.regexp_replace(F.to_json(F.struct(value.alias("v"))), r"^\{\"v\":|\}$", "")
+    """``value`` as a JSON literal; characters beyond ASCII stay as they are."""
+    member = F.to_json(F.struct(value.alias("v")))  # {"v":...}
+    inner = F.substring(member, F.lit(6), F.length(member) - 6)
+    return F.when(value.isNull(), "null").otherwise(inner)
 
 
 def config_document(config: Column) -> Column:

@@ -9,6 +9,7 @@ from shardloom.errors import DeltaLogCorruptionError
 from shardloom.functions.hashing import record_checksum
 from shardloom.operators.ordering import positions
 from shardloom.schemas import ADD, COMMIT, RECORD, RECORD_VERSION, REMOVE, UPDATE
+from shardloom.session import measured
 
 INCREMENTAL, FULL_SCAN = "incremental", "full_scan"
 
@@ -79,11 +80,12 @@ def commit_records(shards: DataFrame, at: Column) -> DataFrame:
     )
 
 
-def fold(records: DataFrame, as_of: int | Column | None = None) -> DataFrame:
-    """Current manifest: per shard the last ADD/UPDATE, gone after REMOVE, ingested after COMMIT.
+def fold_state(records: DataFrame, as_of: int | Column | None = None) -> DataFrame:
+    """Per shard: the last change, a removal included, and the last commit.
 
     One aggregation with map-side combine, so a shard with most of the records costs one partial
-    row per task. ``as_of`` keeps records up to that offset.
+    row per task. Only offsets decide, so records may arrive in any order. ``as_of`` keeps records
+    up to that offset.
     """
     if as_of is not None:
         records = records.filter(F.col("offset") <= as_of)
@@ -96,13 +98,20 @@ def fold(records: DataFrame, as_of: int | Column | None = None) -> DataFrame:
         F.max(F.when(is_commit, offset)).alias("commit_offset"),
         F.max_by("timestamp", F.when(is_commit, offset)).alias("committed_at"),
     )
+    return folded.select("shard_id", "last.*", "last_offset", "commit_offset", "committed_at")
+
+
+def manifest_of(state: DataFrame) -> DataFrame:
+    """The live shards of a state; ingested where the last commit follows the last change.
+
+    Removed shards and shards with commits only (never announced) are not part of it.
+    """
     ingested = F.coalesce(F.col("commit_offset") > F.col("last_offset"), F.lit(False))
-    # A shard with commits only was never announced: ``last`` is null and the filter drops it.
-    return folded.filter(F.col("last.operation") != REMOVE).select(
+    return state.filter(F.col("operation") != REMOVE).select(
         "shard_id",
-        "last.path",
-        "last.byte_size",
-        "last.num_rows",
+        "path",
+        "byte_size",
+        "num_rows",
         ingested.alias("ingested"),
         F.when(ingested, F.col("committed_at")).alias("ingested_at"),
         "last_offset",
@@ -110,29 +119,41 @@ def fold(records: DataFrame, as_of: int | Column | None = None) -> DataFrame:
     )
 
 
-def as_records(manifest: DataFrame) -> DataFrame:
-    """The shortest log that folds to ``manifest``: one ADD and, if ingested, one COMMIT a shard."""
-    added = F.struct(
-        F.col("last_offset").alias("offset"), F.lit(ADD).alias("operation"),
-        F.lit(None).cast("timestamp").alias("timestamp"),
-    )
-    committed = F.struct(
-        F.col("commit_offset").alias("offset"), F.lit(COMMIT).alias("operation"),
-        F.col("ingested_at").cast("timestamp").alias("timestamp"),
-    )
-    return manifest.select(
-        "shard_id", "path", "byte_size", "num_rows",
-        F.explode(
-            F.when(F.col("ingested"), F.array(added, committed)).otherwise(F.array(added))
-        ).alias("r"),
-    ).select("shard_id", "path", "byte_size", "num_rows", "r.*")
+def fold(records: DataFrame, as_of: int | Column | None = None) -> DataFrame:
+    """Current manifest of a log: last ADD/UPDATE per shard, gone after REMOVE, ingested after COMMIT."""
+    return manifest_of(fold_state(records, as_of))
+
+
+def as_records(state: DataFrame) -> DataFrame:
+    """The shortest log that folds to ``state``: at most one change and one commit a shard."""
+    change = F.when(
+        F.col("last_offset").isNotNull(),
+        F.struct(
+            F.col("last_offset").alias("offset"),
+            F.col("operation").alias("operation"),
+            F.lit(None).cast("timestamp").alias("timestamp"),
+        ),
+    )
+    commit = F.when(
+        F.col("commit_offset").isNotNull(),
+        F.struct(
+            F.col("commit_offset").alias("offset"),
+            F.lit(COMMIT).alias("operation"),
+            F.col("committed_at").alias("timestamp"),
+        ),
+    )
+    rows = F.explode(F.array_compact(F.array(change, commit))).alias("r")
+    kept = ["shard_id", "path", "byte_size", "num_rows"]
+    return state.select(*kept, rows).select(*kept, "r.*")
 
 
-def merge(manifest: DataFrame, records: DataFrame) -> DataFrame:
-    """Upsert newer ``records`` into a manifest snapshot; repeating a batch changes nothing."""
-    columns = ["shard_id", "path", "byte_size", "num_rows", "offset", "operation", "timestamp"]
-    recent = records.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    return fold(as_records(manifest).select(columns).unionByName(recent.select(columns)))
+def merge_state(state: DataFrame, records: DataFrame) -> DataFrame:
+    """Bring a stored state up to date; a repeated or late batch of records changes nothing else.
+
+    The state keeps removed shards, so an older ADD that arrives late does not bring one back.
+    """
+    known = as_records(state)
+    return fold_state(known.unionByName(records.select(known.columns)))
 
 
 def pending(manifest: DataFrame) -> DataFrame:
@@ -165,7 +186,8 @@ def planned_rows(frames: DataFrame, planned: DataFrame, on_empty: str = "none")
     """
     if on_empty == "all" and planned.isEmpty():
         return frames
-    keys = planned.select(F.col("shard_id").alias("source_shard"))
+    # Few shards are broadcast, so frames stay where they are and unneeded partitions are skipped.
+    keys = measured(planned.select(F.col("shard_id").alias("source_shard")))
     return frames.join(keys, "source_shard", "left_semi")
 
 
@@ -175,6 +197,7 @@ def empty_log(spark) -> DataFrame:
 
 __all__ = [
     "ADD", "UPDATE", "REMOVE", "COMMIT", "INCREMENTAL", "FULL_SCAN", "append_records", "as_records",
-    "commit_records", "corrupt_records", "empty_log", "fill_checksum", "fold", "log_offset",
-    "mark_ingested", "merge", "pending", "plan", "planned_rows", "replay", "stamp",
+    "commit_records", "corrupt_records", "empty_log", "fill_checksum", "fold", "fold_state",
+    "log_offset", "manifest_of", "mark_ingested", "merge_state", "pending", "plan", "planned_rows",
+    "replay", "stamp",
 ]

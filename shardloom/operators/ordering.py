@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shardloom.session import durable
+from shardloom.session import durable, measured
 
 _PARTITION_BITS = 33  # monotonically_increasing_id: partition index above, row index below
 
@@ -58,10 +58,8 @@ def positions(
         (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
         F.sum("_rows").over(pieces_of_group).alias("n"),
     )
-    if not group:  # one row per partition: bounded by ``count``
-        pieces = F.broadcast(pieces)
     return (
-        join_null_safe(ranged, pieces, ["_part", *group])
+        join_null_safe(ranged, measured(pieces), ["_part", *group])
         .withColumn("pos", F.col("_row") + F.col("_shift"))
         .drop("_part", "_row", "_shift")
     )
@@ -84,17 +82,24 @@ def neighbour(
     edge row of each bucket crosses over to the next one.
     """
     key = list(key)
-    ordering = [F.col(time), F.col(tie)]
-    step = F.lead if following else F.lag
-    work = df.withColumn("_bucket", bucket).withColumn("_value", F.struct(value.alias("v")))
-    in_bucket = Window.partitionBy(*key, "_bucket").orderBy(*ordering)
-    inner = work.withColumn("_inner", step("_value").over(in_bucket))
-    edge = (F.min_by if following else F.max_by)(F.col("_value"), F.struct(time, tie))
-    edges = work.groupBy(*key, "_bucket").agg(edge.alias("_edge"))
+    work = df.withColumns(
+        {"_bucket": bucket, "_value": F.struct(value.alias("v")), "_edge": F.lit(0)}
+    )
+    nearest = (F.min_by if following else F.max_by)(F.col("_value"), F.struct(time, tie))
+    step, side = (F.lead, 1) if following else (F.lag, -1)
     across = Window.partitionBy(*key).orderBy("_bucket")
-    edges = edges.select(*key, "_bucket", step("_edge").over(across).alias("_outer"))
-    joined = join_null_safe(inner, edges, [*key, "_bucket"])
-    # The struct wrapper tells "no neighbour in this bucket" from "neighbour holds null".
-    return joined.withColumn(
-        name, F.when(F.col("_inner").isNotNull(), F.col("_inner.v")).otherwise(F.col("_outer.v"))
-    ).drop("_bucket", "_value", "_inner", "_outer")
+    edges = (
+        work.groupBy(*key, "_bucket")
+        .agg(nearest.alias("_nearest"))
+        .select(*key, "_bucket", step("_nearest").over(across).alias("_value"), F.lit(side).alias("_edge"))
+        .filter(F.col("_value").isNotNull())
+    )
+    # The neighbouring bucket's edge value joins the bucket as one more row, before or after all
+    # others, so the wide side is shuffled once and needs no join.
+    ordered = Window.partitionBy(*key, "_bucket").orderBy("_edge", time, tie)
+    return (
+        work.unionByName(edges, allowMissingColumns=True)
+        .withColumn(name, step("_value").over(ordered)["v"])
+        .filter(F.col("_edge") == 0)
+        .drop("_bucket", "_value", "_edge")
+    )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardloom.errors import MissingModalityError, ShardNotFoundError
+from shardloom.session import measured, value_rows
 
 MODALITIES = ("iris", "fingerprint")
 
@@ -24,7 +25,7 @@ def pair(iris: DataFrame, fingerprint: DataFrame) -> DataFrame:
     map-side combine; contents are joined last. The joined side has one row per subject, so a hot
     subject is split on the iris side by AQE's skew join, or the side is broadcast when small.
     """
-    first = fingerprint.groupBy("subject_id").agg(F.min("path").alias("path"))
+    first = measured(fingerprint.groupBy("subject_id").agg(F.min("path").alias("path")))
     chosen = fingerprint.join(first, ["subject_id", "path"]).select(
         "subject_id",
         F.col("path").alias("fingerprint_path"),
@@ -76,8 +77,7 @@ def missing_roots(
     media: DataFrame, expected: Sequence[str] = MODALITIES, location: str = "", strict: bool = False
 ) -> DataFrame:
     """Expected modality roots that hold no file."""
-    spark = media.sparkSession
-    wanted = spark.createDataFrame([(m,) for m in expected], "modality string")
+    wanted = value_rows(media.sparkSession, "modality", expected)
     absent = wanted.join(media.select("modality").distinct(), "modality", "left_anti")
     if strict:
         row = absent.orderBy("modality").first()

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shardloom.errors import ModelRegistryError
-from shardloom.operators.ordering import positions
+from shardloom.operators.ordering import join_null_safe, positions
 from shardloom.schemas import MANIFEST_VERSION
 
 
@@ -15,18 +15,16 @@ def register(batch: DataFrame, order: str, registry: DataFrame | None = None) ->
 
     Returns the new registry rows with ``version`` and ``uri``; append them to the registry table.
     """
-    slim = positions(batch.select("name", order), [order], ["name"])
-    numbered = slim.withColumn("version", F.col("pos") + 1)
+    numbered = positions(batch, [order], ["name"]).withColumn("version", F.col("pos") + 1)
     if registry is not None:
         known = registry.groupBy("name").agg(F.max("version").alias("_known"))
         numbered = (
-            numbered.join(known, "name", "left")
+            join_null_safe(numbered, known, ["name"], "left")
             .withColumn("version", F.col("version") + F.coalesce("_known", F.lit(0)))
             .drop("_known")
         )
-    numbered = numbered.select("name", order, "version")
     uri = F.concat(F.lit("models:/"), F.col("name"), F.lit("/"), F.col("version").cast("string"))
-    return batch.join(numbered, ["name", order]).withColumn("uri", uri)
+    return numbered.drop("pos", "n").withColumn("uri", uri)
 
 
 def latest(registry: DataFrame) -> DataFrame:

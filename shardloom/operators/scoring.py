@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shardloom.functions.arrays import argmax, softmax
 from shardloom.functions.hashing import subject_name
+from shardloom.schemas import REQUEST_VERSION
 
 CONFIDENCE_DIGITS = 6
 
@@ -31,15 +32,15 @@ def top_candidates(probabilities: Column, k: Column | int) -> Column:
     )
 
 
-def top_k(df: DataFrame, key: str, logits: str, k: Column | int, names: DataFrame) -> DataFrame:
-    """(key, rank, label, subject_id, confidence), one row per candidate.
+def top_k(df: DataFrame, key: list[str], logits: str, k: Column | int, names: DataFrame) -> DataFrame:
+    """(key columns, rank, label, subject_id, confidence), one row per candidate.
 
     ``names`` is (label, subject_id) with unique labels; labels without a name get the default one.
     """
-    ranked = df.select(key, F.explode(top_candidates(softmax(F.col(logits)), k)).alias("c"))
-    named = ranked.select(key, "c.*").join(names.select("label", "subject_id"), "label", "left")
+    ranked = df.select(*key, F.explode(top_candidates(softmax(F.col(logits)), k)).alias("c"))
+    named = ranked.select(*key, "c.*").join(names.select("label", "subject_id"), "label", "left")
     return named.select(
-        key,
+        *key,
         "rank",
         "label",
         F.coalesce("subject_id", subject_name(F.col("label"))).alias("subject_id"),
@@ -47,14 +48,26 @@ def top_k(df: DataFrame, key: str, logits: str, k: Column | int, names: DataFram
     )
 
 
-def responses(candidates: DataFrame, key: str, model_version: str) -> DataFrame:
-    """One nested response per request; a request has at most ten candidates."""
+def responses(
+    requests: DataFrame, logits: str, k: Column | int, names: DataFrame, model_version: str
+) -> DataFrame:
+    """One nested response per scored request.
+
+    Candidates are gathered per request row, not per ``request_id``: callers may repeat an id, and a
+    row never has more than ``k`` candidates.
+    """
+    numbered = requests.withColumn("_row", F.monotonically_increasing_id())
+    candidates = top_k(numbered, ["_row", "request_id"], logits, k, names)
     entry = F.struct("rank", "subject_id", "label", "confidence")
-    return candidates.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("predictions")).select(
-        F.lit(1).alias("schema_version"),
-        F.col(key).alias("request_id"),
-        "predictions",
-        F.lit(model_version).alias("model_version"),
+    return (
+        candidates.groupBy("_row", "request_id")
+        .agg(F.sort_array(F.collect_list(entry)).alias("predictions"))
+        .select(
+            F.lit(REQUEST_VERSION).alias("schema_version"),
+            "request_id",
+            "predictions",
+            F.lit(model_version).alias("model_version"),
+        )
     )
 
 

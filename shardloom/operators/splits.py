@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shardloom.operators.ordering import join_null_safe, positions
+from shardloom.session import measured
 
 # The shares carved out of every subject (or shard).
 VAL_FRACTION = 0.15
@@ -53,7 +54,8 @@ def assign_splits(df: DataFrame, group: str, order: Sequence[str], **shares) ->
     """Add ``split`` to full rows without moving them.
 
     Only the key columns are ordered. Each group's last test key and last validation key then decide
-    the split of every row by comparison, so the wide rows meet one small row per group.
+    the split of every row by comparison, so the wide rows meet one small row per group and are not
+    shuffled while there are few enough groups to broadcast.
     """
     sized = _sized(df, group, order, _shares(shares))
     key, pos = F.struct(*order), F.col("pos")
@@ -65,7 +67,7 @@ def assign_splits(df: DataFrame, group: str, order: Sequence[str], **shares) ->
     )
     split = F.when(key <= F.col("_test"), "test").when(key <= F.col("_val"), "val")
     return (
-        join_null_safe(df, cuts, [group], "left")
+        join_null_safe(df, measured(cuts), [group], "left")
         .withColumn("split", split.otherwise("train"))
         .drop("_test", "_val")
     )
@@ -96,7 +98,8 @@ def encode_labels(subjects: DataFrame, subject: str = "subject_id") -> DataFrame
 
 
 def with_labels(df: DataFrame, labels: DataFrame, subject: str = "subject_id") -> DataFrame:
-    return df.join(labels, subject)
+    """Add the label of every row's subject; a subject without one keeps its rows, unlabelled."""
+    return df.join(measured(labels), subject, "left")
 
 
 def num_classes(df: DataFrame) -> DataFrame:

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from shardloom.operators import guard as g
 from shardloom.operators import manifest as m
 from shardloom.operators import splits
+from shardloom.session import durable
 
 
 @dataclass(frozen=True)
 class IngestRun:
-    """Results of one run; all lazy except ``planned``, which is what the commit will name."""
+    """Results of one run; ``planned`` is fixed, the others are lazy."""
 
     planned: DataFrame
     frames: DataFrame
@@ -34,7 +35,8 @@ def ingest(
     ``commit`` holds the records to append once the frames have been used successfully. With
     ``strict`` a violation raises before anything is returned.
     """
-    planned = m.plan(m.fold(log), strategy)
+    # Written down: scan and commit must name the same shards even if the log grows meanwhile.
+    planned = durable(m.plan(m.fold(log), strategy))
     rows = m.planned_rows(frames, planned, on_empty)
     if strict:
         g.guard(rows)

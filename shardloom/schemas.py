@@ -52,16 +52,17 @@ RECORD = T.StructType(
     ]
 )
 
-MANIFEST = T.StructType(
+# What the continuous fold stores per shard; removed shards stay, marked by their operation.
+MANIFEST_STATE = T.StructType(
     [
         T.StructField("shard_id", T.StringType()),
+        T.StructField("operation", T.StringType()),
         T.StructField("path", T.StringType()),
         T.StructField("byte_size", T.LongType()),
         T.StructField("num_rows", T.LongType()),
-        T.StructField("ingested", T.BooleanType()),
-        T.StructField("ingested_at", T.TimestampType()),
         T.StructField("last_offset", T.LongType()),
         T.StructField("commit_offset", T.LongType()),
+        T.StructField("committed_at", T.TimestampType()),
     ]
 )
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(
@@ -51,7 +53,27 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def value_rows(spark: SparkSession, column: str, values: Iterable[str]) -> DataFrame:
+    """A short list of strings as a one-column table, built in the JVM."""
+    array = F.array(*[F.lit(v) for v in values]).cast("array<string>")
+    return spark.range(1).select(F.explode(array).alias(column))
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and cut its lineage; survives the loss of executors."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+BROADCAST_ROWS = 200_000
+
+
+def measured(df: DataFrame) -> DataFrame:
+    """A side of slim rows for a join, broadcast only if its counted size allows.
+
+    Catalyst cannot estimate a side that comes out of an aggregation and would shuffle the large one
+    before AQE knows better. The side is written down first, so the count and the join see the same
+    rows and nothing is computed twice. Above the limit the join shuffles as usual.
+    """
+    fixed = durable(df)
+    return F.broadcast(fixed) if fixed.count() <= BROADCAST_ROWS else fixed

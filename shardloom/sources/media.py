@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +24,9 @@ def scan_media(spark: SparkSession, root: str, content: bool = True) -> DataFram
         .option("recursiveFileLookup", "true")
         .load(root)
     )
-    place = r"/(iris|fingerprint)/([^/]+)/(?:.*/)?[^/]+$"
+    # Anchored at the root, whose own path may contain a folder of either name.
+    below = re.sub(r"^[A-Za-z0-9+.-]+:/*", "", root).strip("/")
+    place = rf"\Q{below}\E/(iris|fingerprint)/([^/]+)/(?:.*/)?[^/]+$"
     found = files.select(
         F.regexp_extract("path", place, 1).alias("modality"),
         F.regexp_extract("path", place, 2).alias("subject_id"),

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from shardloom.functions.hashing import path_stem
 from shardloom.operators.pairing import shards_not_found
 from shardloom.schemas import FRAME
+from shardloom.session import measured, value_rows
 
 ROWS_PER_FILE = 1_000_000
 
@@ -64,7 +65,7 @@ def scan(spark: SparkSession, root: str, requested: DataFrame, strict: bool = Fa
     if strict:
         shards_not_found(requested, list_shards(spark, root), root, strict=True)
     frames = spark.read.schema(FRAME).parquet(root)
-    keys = requested.select(F.col("shard_id").alias("source_shard"))
+    keys = measured(requested.select(F.col("shard_id").alias("source_shard")))
     return frames.join(keys, "source_shard", "left_semi").select(*FRAME.names)
 
 
@@ -73,7 +74,7 @@ def scan_files(spark: SparkSession, root: str, shard_ids: list[str], strict: boo
     if not shard_ids:
         return empty_frames(spark)
     if strict:
-        wanted = spark.createDataFrame([(s,) for s in shard_ids], "shard_id string")
+        wanted = value_rows(spark, "shard_id", shard_ids)
         shards_not_found(wanted, list_shards(spark, root), root, strict=True)
     return spark.read.schema(FRAME).parquet(*[f"{root}/{s}.parquet" for s in shard_ids])
 
@@ -89,11 +90,13 @@ def union_shards(*tables: DataFrame) -> DataFrame:
 def write_shards(df: DataFrame, root: str, rows_per_file: int = ROWS_PER_FILE, mode: str = "append") -> int:
     """Write frames partitioned by ``source_shard``; returns the rows written.
 
-    A shard's rows are not gathered in one task, so a hot shard is written by many.
+    The rebalance hint brings a shard's rows together into few files, splits a hot shard over several
+    tasks and packs small ones, by the sizes AQE measures.
     """
     seen = Observation("written")
     (
         df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        .hint("rebalance", "source_shard")
         .write.mode(mode)
         .option("compression", "snappy")
         .option("maxRecordsPerFile", rows_per_file)

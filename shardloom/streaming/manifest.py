@@ -5,32 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from shardloom.operators.manifest import fold, merge
-from shardloom.schemas import MANIFEST
+from shardloom.operators.manifest import fold_state, manifest_of, merge_state
+from shardloom.schemas import MANIFEST_STATE
 
 
 def maintain(
     records: DataFrame, folder: str, checkpoint: str, once: bool = False, interval: str = "10 seconds"
 ) -> StreamingQuery:
-    """Fold every micro-batch into the previous snapshot and write it as ``v=<batch id>``.
+    """Fold every micro-batch into the previous state and write the result as ``v=<batch id>``.
 
-    Batch ids are consecutive and a repeated batch rewrites its own snapshot from the one before,
-    so a restart neither loses nor doubles a record.
+    Batch ids are consecutive and a repeated batch rewrites its own version from the one before, so
+    a restart neither loses nor doubles a record; records may arrive in any order.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        state = fold(batch)
-        if batch_id > 0:
-            state = merge(snapshot(batch.sparkSession, folder, batch_id - 1), batch)
-        state.select(*MANIFEST.names).write.mode("overwrite").parquet(f"{folder}/v={batch_id}")
+        if batch_id == 0:
+            state = fold_state(batch)
+        else:
+            state = merge_state(stored_state(batch.sparkSession, folder, batch_id - 1), batch)
+        state.select(*MANIFEST_STATE.names).write.mode("overwrite").parquet(f"{folder}/v={batch_id}")
 
     writer = records.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
     return writer.start()
 
 
-def snapshot(spark: SparkSession, folder: str, version: int | None = None) -> DataFrame:
-    """A manifest snapshot, the newest one unless ``version`` is given."""
+def stored_state(spark: SparkSession, folder: str, version: int | None = None) -> DataFrame:
+    """A stored state, the newest one unless ``version`` is given."""
     if version is None:
         version = spark.read.parquet(folder).agg({"v": "max"}).first()[0]
-    return spark.read.schema(MANIFEST).parquet(f"{folder}/v={version}")
+    return spark.read.schema(MANIFEST_STATE).parquet(f"{folder}/v={version}")
+
+
+def snapshot(spark: SparkSession, folder: str, version: int | None = None) -> DataFrame:
+    """The manifest of a stored state."""
+    return manifest_of(stored_state(spark, folder, version))

@@ -10,7 +10,10 @@ from shardloom.operators import manifest as m
 from shardloom.session import new_folder
 from shardloom.streaming import changes as sc
 from shardloom.streaming import manifest as sm
+from shardloom.streaming import lags as sl
 from shardloom.workloads import tables as t
+from shardloom.workloads.metrics import SLIDE, WINDOW
+from shardloom.workloads.metrics import SQL as LAG_SQL
 
 # The stand-in events of a user are hours apart, so the quiet period is hours long as well.
 GAP = "6 hours"
@@ -90,7 +93,28 @@ def manifest_stream(spark: SparkSession, folder: str) -> DataFrame:
     return t.show_manifest(sm.snapshot(spark, f"{out}/snapshots"))
 
 
+def lag_sliding_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Rolling lag totals kept by a stream, run to its end; equals ``lag_sliding``."""
+    out = new_folder(spark, "lags")
+    live = _event_stream(spark, folder).select("event_type", "ts", (F.col("value") / 100).alias("lag"))
+    far = spark.range(1).select(
+        F.lit("sentinel").alias("event_type"),
+        F.lit("2124-01-01 00:00:00").cast("timestamp").alias("ts"),
+        F.lit(0.0).alias("lag"),
+    )
+    far.limit(0).write.parquet(f"{out}/sentinel")
+    flush = sc.read_files(spark, f"{out}/sentinel", far.schema)
+    rates = sl.sliding_rate(live.unionByName(flush), ["event_type"], "ts", "lag", WINDOW, SLIDE)
+    sc.drain(rates, far, f"{out}/sentinel", f"{out}/rates", f"{out}/checkpoint")
+    found = spark.read.parquet(f"{out}/rates").filter(F.col("event_type") != "sentinel")
+    return found.select(
+        "event_type", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n",
+        F.round("total", 6).alias("total"), F.round("per_second", 6).alias("per_second"),
+    )
+
+
 QUERIES = {
+    "lag_sliding_stream": lag_sliding_stream,
     "cdc_debounce": cdc_debounce,
     "cdc_records": cdc_records,
     "cdc_stream": cdc_stream,
@@ -118,6 +142,7 @@ FROM settled""",
 )
 
 SQL = {
+    "lag_sliding_stream": LAG_SQL["lag_sliding"],
     "cdc_debounce": t.with_ctes(
         t.MANIFEST_SQL,
         _SETTLED_SQL,

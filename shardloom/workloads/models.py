@@ -35,7 +35,7 @@ def _names(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def score_topk(spark: SparkSession, folder: str) -> DataFrame:
-    return sc.top_k(_logits(spark, folder), "vec_id", "logits", 3, _names(spark, folder))
+    return sc.top_k(_logits(spark, folder), ["vec_id"], "logits", 3, _names(spark, folder))
 
 
 def _requests(spark: SparkSession, folder: str) -> DataFrame:
@@ -62,7 +62,7 @@ def score_requests(spark: SparkSession, folder: str) -> DataFrame:
     scored = valid.select("request_id", "top_k", F.col("conv_id").alias("vec_id")).join(
         _logits(spark, folder), "vec_id"
     )
-    return sc.top_k(scored, "request_id", "logits", F.col("top_k"), _names(spark, folder))
+    return sc.top_k(scored, ["request_id"], "logits", F.col("top_k"), _names(spark, folder))
 
 
 def evaluate(spark: SparkSession, folder: str) -> DataFrame:
