@@ -186,9 +186,10 @@ def planned_rows(frames: DataFrame, planned: DataFrame, on_empty: str = "none")
     """
     if on_empty == "all" and planned.isEmpty():
         return frames
-    # Few shards are broadcast, so frames stay where they are and unneeded partitions are skipped.
+    # Few shards are broadcast, so frames stay where they are. Spark prunes partitions at run time
+    # only if the other side has a filter that looks selective; this one is true for every id.
     keys = measured(planned.select(F.col("shard_id").alias("source_shard")))
-    return frames.join(keys, "source_shard", "left_semi")
+    return frames.join(keys.filter(F.col("source_shard") >= ""), "source_shard", "left_semi")
 
 
 def empty_log(spark) -> DataFrame:

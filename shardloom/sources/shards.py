@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shardloom.functions.hashing import path_stem
+from shardloom.operators.manifest import planned_rows
 from shardloom.operators.pairing import shards_not_found
 from shardloom.schemas import FRAME
-from shardloom.session import measured, value_rows
+from shardloom.session import value_rows
 
 ROWS_PER_FILE = 1_000_000
 
@@ -65,8 +66,7 @@ def scan(spark: SparkSession, root: str, requested: DataFrame, strict: bool = Fa
     if strict:
         shards_not_found(requested, list_shards(spark, root), root, strict=True)
     frames = spark.read.schema(FRAME).parquet(root)
-    keys = measured(requested.select(F.col("shard_id").alias("source_shard")))
-    return frames.join(keys, "source_shard", "left_semi").select(*FRAME.names)
+    return planned_rows(frames, requested).select(*FRAME.names)
 
 
 def scan_files(spark: SparkSession, root: str, shard_ids: list[str], strict: bool = True) -> DataFrame:
