@@ -9,7 +9,7 @@ from shardloom.errors import DeltaLogCorruptionError
 from shardloom.functions.hashing import record_checksum
 from shardloom.operators.ordering import positions
 from shardloom.schemas import ADD, COMMIT, RECORD, RECORD_VERSION, REMOVE, UPDATE
-from shardloom.session import measured
+from shardloom.session import BROADCAST_ROWS, counted
 
 INCREMENTAL, FULL_SCAN = "incremental", "full_scan"
 
@@ -178,18 +178,25 @@ def mark_ingested(manifest: DataFrame, shards: DataFrame, at: Column) -> DataFra
     )
 
 
-def planned_rows(frames: DataFrame, planned: DataFrame, on_empty: str = "none") -> DataFrame:
+def planned_rows(
+    frames: DataFrame, planned: DataFrame, on_empty: str = "none", known: int | None = None
+) -> DataFrame:
     """Rows of the planned shards.
 
-    With ``on_empty="all"`` an empty plan reads everything, which a run that must never train on
+    ``known`` is the number of planned shards where the plan is stored already. With ``on_empty="all"`` an empty plan reads everything, which a run that must never train on
     nothing may ask for; by default an empty plan reads nothing.
     """
-    if on_empty == "all" and planned.isEmpty():
+    keys = planned.select(F.col("shard_id").alias("source_shard"))
+    if known is None:
+        keys, known = counted(keys)
+    if on_empty == "all" and known == 0:
         return frames
     # Few shards are broadcast, so frames stay where they are. Spark prunes partitions at run time
     # only if the other side has a filter that looks selective; this one is true for every id.
-    keys = measured(planned.select(F.col("shard_id").alias("source_shard")))
-    return frames.join(keys.filter(F.col("source_shard") >= ""), "source_shard", "left_semi")
+    keys = keys.filter(F.col("source_shard") >= "")
+    if known <= BROADCAST_ROWS:
+        keys = F.broadcast(keys)
+    return frames.join(keys, "source_shard", "left_semi")
 
 
 def empty_log(spark) -> DataFrame:

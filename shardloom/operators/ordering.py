@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shardloom.session import durable, measured
+from shardloom.session import BROADCAST_ROWS, counted, durable
 
 _PARTITION_BITS = 33  # monotonically_increasing_id: partition index above, row index below
 
@@ -36,6 +36,13 @@ def positions(
     the rows are written once to the shared folder, because range boundaries come from a sample and
     a recomputed partition could otherwise draw different ones.
     """
+    return placed(df, order, group, partitions)[0]
+
+
+def placed(
+    df: DataFrame, order: Sequence[str], group: Sequence[str] = (), partitions: int | None = None
+) -> tuple[DataFrame, int]:
+    """:func:`positions` and an upper bound of the number of groups."""
     group, order = list(group), list(order)
     count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = durable(
@@ -58,11 +65,15 @@ def positions(
         (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
         F.sum("_rows").over(pieces_of_group).alias("n"),
     )
-    return (
-        join_null_safe(ranged, measured(pieces), ["_part", *group])
-        .withColumn("pos", F.col("_row") + F.col("_shift"))
-        .drop("_part", "_row", "_shift")
-    )
+    if group:
+        pieces, bound = counted(pieces)
+    else:
+        bound = count
+    if bound <= BROADCAST_ROWS:
+        pieces = F.broadcast(pieces)
+    numbered = join_null_safe(ranged, pieces, ["_part", *group])
+    numbered = numbered.withColumn("pos", F.col("_row") + F.col("_shift"))
+    return numbered.drop("_part", "_row", "_shift"), bound
 
 
 def neighbour(

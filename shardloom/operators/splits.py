@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardloom.operators.ordering import join_null_safe, positions
-from shardloom.session import measured
+from shardloom.operators.ordering import join_null_safe, placed, positions
+from shardloom.session import BROADCAST_ROWS, measured
 
 # The shares carved out of every subject (or shard).
 VAL_FRACTION = 0.15
@@ -28,10 +28,12 @@ def split_sizes(n: Column, test: float, val: float, at_least: int, keep_train: b
     return n_test.cast("bigint"), n_val.cast("bigint")
 
 
-def _sized(df: DataFrame, group: str, order: Sequence[str], shares: dict) -> DataFrame:
-    placed = positions(df.select(group, *order), order, [group])
+def _sized(
+    df: DataFrame, group: str, order: Sequence[str], shares: dict
+) -> tuple[DataFrame, int]:
+    rows, groups = placed(df.select(group, *order), order, [group])
     n_test, n_val = split_sizes(F.col("n"), **shares)
-    return placed.withColumn("_tests", n_test).withColumn("_held", n_test + n_val)
+    return rows.withColumn("_tests", n_test).withColumn("_held", n_test + n_val), groups
 
 
 def _shares(given: dict) -> dict:
@@ -46,7 +48,7 @@ def split_index(df: DataFrame, group: str, order: Sequence[str], **shares) -> Da
         .when(F.col("pos") < F.col("_held"), "val")
         .otherwise("train")
     )
-    sized = _sized(df, group, order, _shares(shares))
+    sized, _ = _sized(df, group, order, _shares(shares))
     return sized.withColumn("split", split).drop("_tests", "_held")
 
 
@@ -57,7 +59,7 @@ def assign_splits(df: DataFrame, group: str, order: Sequence[str], **shares) ->
     the split of every row by comparison, so the wide rows meet one small row per group and are not
     shuffled while there are few enough groups to broadcast.
     """
-    sized = _sized(df, group, order, _shares(shares))
+    sized, groups = _sized(df, group, order, _shares(shares))
     key, pos = F.struct(*order), F.col("pos")
     last_test, last_held = pos == F.col("_tests") - 1, pos == F.col("_held") - 1
     cuts = (
@@ -65,9 +67,11 @@ def assign_splits(df: DataFrame, group: str, order: Sequence[str], **shares) ->
         .groupBy(group)
         .agg(F.max(F.when(last_test, key)).alias("_test"), F.max(key).alias("_val"))
     )
+    if groups <= BROADCAST_ROWS:
+        cuts = F.broadcast(cuts)
     split = F.when(key <= F.col("_test"), "test").when(key <= F.col("_val"), "val")
     return (
-        join_null_safe(df, measured(cuts), [group], "left")
+        join_null_safe(df, cuts, [group], "left")
         .withColumn("split", split.otherwise("train"))
         .drop("_test", "_val")
     )
@@ -93,8 +97,8 @@ def split_counts(df: DataFrame, *by: str) -> DataFrame:
 
 def encode_labels(subjects: DataFrame, subject: str = "subject_id") -> DataFrame:
     """(subject, label): ordinal among all distinct subjects in sorted order."""
-    placed = positions(subjects.select(subject).distinct(), [subject])
-    return placed.select(subject, F.col("pos").alias("label"))
+    ordered = positions(subjects.select(subject).distinct(), [subject])
+    return ordered.select(subject, F.col("pos").alias("label"))
 
 
 def with_labels(df: DataFrame, labels: DataFrame, subject: str = "subject_id") -> DataFrame:
@@ -113,7 +117,7 @@ def num_classes(df: DataFrame) -> DataFrame:
 def assign_shards(subjects: DataFrame, shards: int, subject: str = "subject_id") -> DataFrame:
     """(subject, ordinal, shard_index): contiguous runs of ``max(1, subjects // shards)``; the last
     shard takes the remainder. With more shards than subjects the surplus stays empty."""
-    placed = positions(subjects.select(subject).distinct(), [subject])
+    ordered = positions(subjects.select(subject).distinct(), [subject])
     size = F.greatest(F.lit(1), F.floor(F.col("n") / shards))
     index = F.least(F.floor(F.col("pos") / size), F.lit(shards - 1)).cast("bigint")
-    return placed.select(subject, F.col("pos").alias("ordinal"), index.alias("shard_index"))
+    return ordered.select(subject, F.col("pos").alias("ordinal"), index.alias("shard_index"))

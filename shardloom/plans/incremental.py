@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shardloom.operators import guard as g
 from shardloom.operators import manifest as m
 from shardloom.operators import splits
-from shardloom.session import durable
+from shardloom.session import counted
 
 
 @dataclass(frozen=True)
@@ -36,8 +36,8 @@ def ingest(
     ``strict`` a violation raises before anything is returned.
     """
     # Written down: scan and commit must name the same shards even if the log grows meanwhile.
-    planned = durable(m.plan(m.fold(log), strategy))
-    rows = m.planned_rows(frames, planned, on_empty)
+    planned, shards = counted(m.plan(m.fold(log), strategy))
+    rows = m.planned_rows(frames, planned, on_empty, known=shards)
     if strict:
         g.guard(rows)
     split = splits.stratified(rows.drop("split"), "subject_id", ["sample_id"])

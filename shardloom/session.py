@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -68,12 +68,19 @@ def durable(df: DataFrame) -> DataFrame:
 BROADCAST_ROWS = 200_000
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """Like :func:`durable`, with the number of rows observed while they were written."""
+    seen = Observation("rows")
+    fixed = durable(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return fixed, seen.get["rows"]
+
+
 def measured(df: DataFrame) -> DataFrame:
     """A side of slim rows for a join, broadcast only if its counted size allows.
 
     Catalyst cannot estimate a side that comes out of an aggregation and would shuffle the large one
-    before AQE knows better. The side is written down first, so the count and the join see the same
-    rows and nothing is computed twice. Above the limit the join shuffles as usual.
+    before AQE knows better. The side is written down, so the count and the join see the same rows
+    and nothing is computed twice. Above the limit the join shuffles as usual.
     """
-    fixed = durable(df)
-    return F.broadcast(fixed) if fixed.count() <= BROADCAST_ROWS else fixed
+    fixed, rows = counted(df)
+    return F.broadcast(fixed) if rows <= BROADCAST_ROWS else fixed
