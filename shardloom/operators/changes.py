@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardloom.functions.hashing import content_hash, path_stem, record_checksum
-from shardloom.operators.ordering import neighbour
+from shardloom.operators.ordering import HOT_ROWS, neighbour
 from shardloom.schemas import ADD, RECORD_VERSION
 
 # Fixed value: the quiet period after which a changed file counts as settled.
@@ -15,15 +15,22 @@ EDGE_BUCKET = "10 minutes"
 
 
 def debounce(
-    events: DataFrame, gap: str = DEBOUNCE, time: str = "ts", tie: str = "event_id", bucket: str = EDGE_BUCKET
+    events: DataFrame,
+    gap: str = DEBOUNCE,
+    time: str = "ts",
+    tie: str = "event_id",
+    bucket: str = EDGE_BUCKET,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The last event of every quiet period of a path.
 
-    An event survives when the next one of its path is more than ``gap`` later. Paths are compared
-    within time buckets, so a path with most of the events is spread over the cluster.
+    An event survives when the next one of its path is more than ``gap`` later. A path with very many
+    events is compared within time buckets, which spreads it over the cluster.
     """
     width = F.window(time, bucket)["start"]
-    seen = neighbour(events, ["path"], time, tie, F.col(time), width, "_next", following=True)
+    seen = neighbour(
+        events, ["path"], time, tie, F.col(time), width, "_next", following=True, hot_rows=hot_rows
+    )
     quiet = F.col("_next").isNull() | (F.col("_next") > F.col(time) + F.expr(f"INTERVAL {gap}"))
     return seen.filter(quiet).drop("_next")
 

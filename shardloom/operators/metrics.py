@@ -125,8 +125,8 @@ def counter_rate(
     """(series, window_start, increase, per_second) of a growing counter.
 
     A drop is a restart from zero, so the new value is the increment; a series' first reading has no
-    predecessor and adds nothing. Readings are compared within (series, window), so a hot series is
-    split by time and only one reading per window crosses over.
+    predecessor and adds nothing. A hot series is compared window by window, and only one reading
+    per window crosses over.
     """
     bucket = F.window(time, window)["start"]
     seen = neighbour(df, series, time, tie, F.col(counter), bucket, "_before")

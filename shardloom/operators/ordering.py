@@ -76,6 +76,17 @@ def placed(
     return numbered.drop("_part", "_row", "_shift"), bound
 
 
+HOT_ROWS = 1_000_000
+SAMPLE = 0.01
+
+
+def hot_keys(df: DataFrame, key: Sequence[str], rows: int = HOT_ROWS, sample: float = SAMPLE):
+    """(keys with about ``rows`` rows or more, how many), from a seeded sample; stored."""
+    drawn = df.select(*key).sample(sample, seed=17) if sample < 1 else df.select(*key)
+    counts = drawn.groupBy(*key).agg(F.count("*").alias("_rows"))
+    return counted(counts.filter(F.col("_rows") >= rows * sample).select(*key))
+
+
 def neighbour(
     df: DataFrame,
     key: Sequence[str],
@@ -85,32 +96,41 @@ def neighbour(
     bucket: Column,
     name: str,
     following: bool = False,
+    hot_rows: int = HOT_ROWS,
+    sample: float = SAMPLE,
 ) -> DataFrame:
     """Add ``name``: ``value`` of the previous (or following) row of the same ``key``.
 
-    Rows are ordered by ``time`` then ``tie``. ``bucket`` is a coarse, ordered function of ``time``
-    (an hour, say); a key's rows are sorted per bucket, so a hot key is split by time, and only the
-    edge row of each bucket crosses over to the next one.
+    Rows are ordered by ``time`` then ``tie``. Keys of usual size are sorted whole. A hot key's rows
+    are sorted per ``bucket``, a coarse and ordered function of ``time`` (an hour, say), so the key
+    is spread over the cluster. Which keys count as hot changes the speed, never the result.
     """
     key = list(key)
-    work = df.withColumns(
-        {"_bucket": bucket, "_value": F.struct(value.alias("v")), "_edge": F.lit(0)}
-    )
-    nearest = (F.min_by if following else F.max_by)(F.col("_value"), F.struct(time, tie))
     step, side = (F.lead, 1) if following else (F.lag, -1)
+    work = df.withColumn("_value", value)
+    hot, found = hot_keys(df, key, hot_rows, sample)
+    if not found:
+        whole = Window.partitionBy(*key).orderBy(time, tie)
+        return work.withColumn(name, step("_value").over(whole)).drop("_value")
+
+    if found <= BROADCAST_ROWS:
+        hot = F.broadcast(hot)
+    marked = join_null_safe(work, hot.withColumn("_hot", F.lit(True)), key, "left")
+    work = marked.withColumns({"_bucket": F.when(F.col("_hot"), bucket), "_edge": F.lit(0)})
+    nearest = (F.min_by if following else F.max_by)(F.col("_value"), F.struct(time, tie))
     across = Window.partitionBy(*key).orderBy("_bucket")
     edges = (
-        work.groupBy(*key, "_bucket")
+        work.filter("_hot")
+        .groupBy(*key, "_bucket")
         .agg(nearest.alias("_nearest"))
         .select(*key, "_bucket", step("_nearest").over(across).alias("_value"), F.lit(side).alias("_edge"))
-        .filter(F.col("_value").isNotNull())
     )
     # The neighbouring bucket's edge value joins the bucket as one more row, before or after all
     # others, so the wide side is shuffled once and needs no join.
     ordered = Window.partitionBy(*key, "_bucket").orderBy("_edge", time, tie)
     return (
         work.unionByName(edges, allowMissingColumns=True)
-        .withColumn(name, step("_value").over(ordered)["v"])
+        .withColumn(name, step("_value").over(ordered))
         .filter(F.col("_edge") == 0)
-        .drop("_bucket", "_value", "_edge")
+        .drop("_hot", "_bucket", "_value", "_edge")
     )

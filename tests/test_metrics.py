@@ -133,8 +133,8 @@ def test_debounce(spark):
     rows, df = file_events(spark)
     expected = settled_by_hand(rows)
     assert 20 < len(expected) < 200
-    for bucket in ("1 second", "10 minutes"):
-        assert {x.event_id for x in ch.debounce(df, bucket=bucket).collect()} == expected
+    for bucket, hot in (("1 second", 1), ("10 minutes", 1), ("10 minutes", 10**6)):
+        assert {x.event_id for x in ch.debounce(df, bucket=bucket, hot_rows=hot).collect()} == expected
     listing = spark.createDataFrame([("d/s1.parquet",)], "path string")
     kept = ch.still_there(ch.debounce(df), listing)
     assert {x.path for x in kept.collect()} == {"d/s1.parquet"}

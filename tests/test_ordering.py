@@ -37,8 +37,9 @@ def test_neighbour_equals_a_plain_window(spark):
         for i in range(800)
     ]
     df = spark.createDataFrame(rows, "k string, t int, i int, v int")
-    for following in (False, True):
-        found = neighbour(df, ["k"], "t", "i", F.col("v"), F.floor(F.col("t") / 40), "x", following)
+    for following, hot in ((False, 1), (True, 1), (True, 300), (False, 10**6)):
+        bucket = F.floor(F.col("t") / 40)
+        found = neighbour(df, ["k"], "t", "i", F.col("v"), bucket, "x", following, hot, 1.0)
         expected = {}
         for key in {r[0] for r in rows}:
             own = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1], r[2]))
