@@ -59,6 +59,38 @@ def record_rules() -> dict[str, Column]:
     }
 
 
+def manifest_rules() -> dict[str, Column]:
+    return {
+        "shard_id": F.col("shard_id").isNotNull(),
+        "path": F.col("path").isNotNull(),
+        "byte_size": F.col("byte_size") >= 0,
+        "num_rows": F.col("num_rows") >= 0,
+        "ingested": F.col("ingested").isNotNull(),
+    }
+
+
+def run_rules() -> dict[str, Column]:
+    return {
+        "run_id": F.col("run_id").isNotNull(),
+        "git_sha": F.col("git_sha").isNotNull(),
+        "config_hash": F.col("config_hash").isNotNull(),
+        "delta_log_offset": F.col("delta_log_offset") >= 0,
+        "profile": F.col("profile").isNotNull(),
+        "model_name": F.col("model_name").isNotNull(),
+        "num_classes": F.col("num_classes") >= 1,
+        "max_steps": F.col("max_steps") >= 1,
+    }
+
+
+def candidate_rules() -> dict[str, Column]:
+    return {
+        "rank": F.col("rank") >= 1,
+        "subject_id": F.col("subject_id").isNotNull(),
+        "label": F.col("label") >= 0,
+        "confidence": F.col("confidence").between(0.0, 1.0),
+    }
+
+
 def frame_rules() -> dict[str, Column]:
     return {
         "schema_version": F.col("schema_version") >= 1,

@@ -40,6 +40,11 @@ def path_stem(path: Column) -> Column:
     return F.regexp_replace(F.regexp_extract(path, r"([^/]*)$", 1), r"(?<=.)\.[^.]*$", "")
 
 
+def path_order(path: Column) -> Column:
+    """Text that sorts paths folder by folder, so ``a/x`` comes before ``a-b/x``."""
+    return F.translate(path, "/", "\u0001")
+
+
 def json_text(value: Column) -> Column:
     """``value`` as a JSON literal; characters beyond ASCII stay as they are."""
     member = F.to_json(F.struct(value.alias("v")))  # {"v":...}

@@ -58,8 +58,9 @@ def decode_frames(
     iris_size: tuple[int, int] = IRIS_SIZE,
     fingerprint_size: tuple[int, int] = FINGERPRINT_SIZE,
     batch_size: int = DECODE_BATCH,
+    keep: tuple[str, ...] = ("subject_id", "sample_id", "label"),
 ) -> DataFrame:
-    """(subject_id, sample_id, label, iris, fingerprint, error): row-major tiles in [0, 1].
+    """(keep columns, iris, fingerprint, error): row-major tiles in [0, 1].
 
     Filter by split before calling. ``error`` names the modality that is empty or unreadable and is
     null for good rows; see :func:`decoded` and :func:`quarantine`.
@@ -70,22 +71,13 @@ def decode_frames(
         finger, finger_errors = _tiles(batch["fingerprint_bytes"], fingerprint_size, "fingerprint")
         errors = [a or b for a, b in zip(iris_errors, finger_errors, strict=True)]
         return pa.RecordBatch.from_arrays(
-            [
-                batch["subject_id"],
-                batch["sample_id"],
-                batch["label"],
-                iris,
-                finger,
-                pa.array(errors, pa.string()),
-            ],
-            ["subject_id", "sample_id", "label", "iris", "fingerprint", "error"],
+            [*(batch[c] for c in keep), iris, finger, pa.array(errors, pa.string())],
+            [*keep, "iris", "fingerprint", "error"],
         )
 
-    needed = frames.select("subject_id", "sample_id", "label", "iris_bytes", "fingerprint_bytes")
-    schema = (
-        "subject_id string, sample_id string, label bigint, iris array<float>,"
-        " fingerprint array<float>, error string"
-    )
+    needed = frames.select(*keep, "iris_bytes", "fingerprint_bytes")
+    kept = [f"{name} {kind}" for name, kind in frames.select(*keep).dtypes]
+    schema = ", ".join([*kept, "iris array<float>", "fingerprint array<float>", "error string"])
     return map_batches(needed, decode, schema, batch_size)
 
 
@@ -94,7 +86,7 @@ def decoded(tiles: DataFrame) -> DataFrame:
 
 
 def quarantine(tiles: DataFrame) -> DataFrame:
-    return tiles.filter(F.col("error").isNotNull()).select("subject_id", "sample_id", "error")
+    return tiles.filter(F.col("error").isNotNull()).drop("iris", "fingerprint")
 
 
 def decode_images(images: DataFrame, size: tuple[int, int], batch_size: int = DECODE_BATCH) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardloom.errors import MissingModalityError, ShardNotFoundError
+from shardloom.functions.hashing import path_order
 from shardloom.session import measured, value_rows
 
 MODALITIES = ("iris", "fingerprint")
@@ -25,8 +26,9 @@ def pair(iris: DataFrame, fingerprint: DataFrame) -> DataFrame:
     map-side combine; contents are joined last. The joined side has one row per subject, so a hot
     subject is split on the iris side by AQE's skew join, or the side is broadcast when small.
     """
-    first = measured(fingerprint.groupBy("subject_id").agg(F.min("path").alias("path")))
-    chosen = fingerprint.join(first, ["subject_id", "path"]).select(
+    ordered = fingerprint.withColumn("_at", path_order(F.col("path")))
+    first = measured(ordered.groupBy("subject_id").agg(F.min("_at").alias("_at")))
+    chosen = ordered.join(first, ["subject_id", "_at"]).select(
         "subject_id",
         F.col("path").alias("fingerprint_path"),
         F.col("content").alias("fingerprint_bytes"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from shardloom.errors import ModelRegistryError
@@ -42,6 +42,14 @@ def latest_uri(registry: DataFrame, name: str) -> str:
     return row["uri"]
 
 
+def find(registry: DataFrame, uri: str) -> Row:
+    """The registry row of a version URI."""
+    row = registry.filter(F.col("uri") == uri).first()
+    if row is None:
+        raise ModelRegistryError(f"no version {uri!r}")
+    return row
+
+
 def list_versions(registry: DataFrame, name: str | None = None) -> DataFrame:
     """Versions in descending numeric order, of one name or per name."""
     if name is not None:

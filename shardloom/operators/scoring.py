@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shardloom.functions.arrays import argmax, softmax
 from shardloom.functions.hashing import subject_name
 from shardloom.schemas import REQUEST_VERSION
+from shardloom.session import durable
 
 CONFIDENCE_DIGITS = 6
 
@@ -32,42 +33,54 @@ def top_candidates(probabilities: Column, k: Column | int) -> Column:
     )
 
 
+def _named(candidates: DataFrame, names: DataFrame) -> DataFrame:
+    """Add ``subject_id`` by label; labels without a name get the default one."""
+    known = names.select("label", F.col("subject_id").alias("_name"))
+    name = F.coalesce("_name", subject_name(F.col("label")))
+    return candidates.join(known, "label", "left").withColumn("subject_id", name).drop("_name")
+
+
 def top_k(df: DataFrame, key: list[str], logits: str, k: Column | int, names: DataFrame) -> DataFrame:
     """(key columns, rank, label, subject_id, confidence), one row per candidate.
 
-    ``names`` is (label, subject_id) with unique labels; labels without a name get the default one.
+    ``names`` is (label, subject_id) with unique labels.
     """
     ranked = df.select(*key, F.explode(top_candidates(softmax(F.col(logits)), k)).alias("c"))
-    named = ranked.select(*key, "c.*").join(names.select("label", "subject_id"), "label", "left")
-    return named.select(
-        *key,
-        "rank",
-        "label",
-        F.coalesce("subject_id", subject_name(F.col("label"))).alias("subject_id"),
-        "confidence",
-    )
+    named = _named(ranked.select(*key, "c.*"), names)
+    return named.select(*key, "rank", "label", "subject_id", "confidence")
 
 
 def responses(
-    requests: DataFrame, logits: str, k: Column | int, names: DataFrame, model_version: str
+    requests: DataFrame,
+    logits: str,
+    k: Column | int,
+    names: DataFrame,
+    model_version: str,
+    latency_ms: Column | None = None,
 ) -> DataFrame:
     """One nested response per scored request.
 
-    Candidates are gathered per request row, not per ``request_id``: callers may repeat an id, and a
-    row never has more than ``k`` candidates.
+    Candidates are gathered per request row, not per ``request_id``, because callers may repeat an
+    id; a row has at most ``k`` of them. The short candidate lists are stored with their row numbers,
+    so that a retried task cannot number them anew. ``latency_ms`` is null unless measured.
     """
-    numbered = requests.withColumn("_row", F.monotonically_increasing_id())
-    candidates = top_k(numbered, ["_row", "request_id"], logits, k, names)
+    latency = F.lit(None).cast("double") if latency_ms is None else latency_ms
+    ranked = requests.select(
+        "request_id",
+        latency.alias("latency_ms"),
+        top_candidates(softmax(F.col(logits)), k).alias("candidates"),
+    )
+    stored = durable(ranked.withColumn("_row", F.monotonically_increasing_id()))
+    row = ["_row", "request_id", "latency_ms"]
+    listed = _named(stored.select(*row, F.explode("candidates").alias("c")).select(*row, "c.*"), names)
     entry = F.struct("rank", "subject_id", "label", "confidence")
-    return (
-        candidates.groupBy("_row", "request_id")
-        .agg(F.sort_array(F.collect_list(entry)).alias("predictions"))
-        .select(
-            F.lit(REQUEST_VERSION).alias("schema_version"),
-            "request_id",
-            "predictions",
-            F.lit(model_version).alias("model_version"),
-        )
+    gathered = listed.groupBy(*row).agg(F.sort_array(F.collect_list(entry)).alias("predictions"))
+    return gathered.select(
+        F.lit(REQUEST_VERSION).alias("schema_version"),
+        "request_id",
+        "predictions",
+        F.lit(model_version).alias("model_version"),
+        "latency_ms",
     )
 
 

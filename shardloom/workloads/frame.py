@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardloom.functions import hashing as h
+from shardloom.functions.checks import broken_rules, frame_rules
 from shardloom.operators import guard as g
 from shardloom.operators import manifest as m
 from shardloom.operators import pairing as p
@@ -192,6 +193,12 @@ def version_gate(spark: SparkSession, folder: str) -> DataFrame:
     return g.too_new(t.frames(spark, folder), 1).select("sample_id", "schema_version")
 
 
+def frame_validate(spark: SparkSession, folder: str) -> DataFrame:
+    """Broken rules of every frame; the language is no split, and some fingerprints are missing."""
+    rows = shards.build_frames(t.frames(spark, folder))
+    return rows.select("sample_id", F.array_join(broken_rules(frame_rules()), ",").alias("violations"))
+
+
 def schema_guard(spark: SparkSession, folder: str) -> DataFrame:
     return g.table_checks(t.frames(spark, folder))
 
@@ -229,7 +236,7 @@ QUERIES = {
         frame_build, derived_keys, content_hash, shards_to_write, assign_shards, split_stratified,
         split_per_shard, split_counts, label_encode, num_classes, sharded_sample,
         sharded_sample_drop_last, make_batches, incremental_scan, incremental_split_counts,
-        shard_not_found, upcast_rows, version_gate, schema_guard, pair_modalities, common_subjects,
+        shard_not_found, upcast_rows, version_gate, frame_validate, schema_guard, pair_modalities, common_subjects,
         missing_modality, missing_roots,
     )
 }
@@ -386,6 +393,13 @@ FROM documents""",
     "version_gate": t.with_ctes(
         t.FRAMES_SQL, body=" SELECT sample_id, schema_version FROM frames WHERE schema_version > 1"
     ),
+    "frame_validate": t.with_ctes(
+        t.FRAMES_SQL,
+        body="""
+SELECT sample_id, concat_ws(',', CASE WHEN octet_length(iris_bytes) = 0 THEN 'iris_bytes' END,
+         CASE WHEN fingerprint_bytes IS NULL THEN 'fingerprint_bytes' END, 'split') AS violations
+FROM frames""",
+    ),
     "schema_guard": t.with_ctes(
         t.FRAMES_SQL,
         """

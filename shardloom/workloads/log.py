@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shardloom.functions.checks import broken_rules, record_rules
 from shardloom.functions.hashing import record_checksum
 from shardloom.operators import manifest as m
 from shardloom.schemas import ADD, RECORD
@@ -55,6 +56,12 @@ def log_corrupt_rows(spark: SparkSession, folder: str) -> DataFrame:
     return m.corrupt_records(_tampered(spark, folder)).select("offset", "shard_id", "record_checksum")
 
 
+def record_validate(spark: SparkSession, folder: str) -> DataFrame:
+    """Broken rules of every record; a commit is no change of a shard."""
+    rules = F.array_join(broken_rules(record_rules()), ",")
+    return t.log(spark, folder).select("offset", rules.alias("violations"))
+
+
 def log_offset(spark: SparkSession, folder: str) -> DataFrame:
     return m.log_offset(t.log(spark, folder))
 
@@ -100,6 +107,7 @@ QUERIES = {
     "log_replay": log_replay,
     "log_checksum": log_checksum,
     "log_corrupt_rows": log_corrupt_rows,
+    "record_validate": record_validate,
     "log_offset": log_offset,
     "log_json_roundtrip": log_json_roundtrip,
     "manifest_fold": manifest_fold,
@@ -139,6 +147,9 @@ SELECT "offset", sha256(shard_id || ':' || operation || ':' || path) AS record_c
 SELECT "offset", shard_id, sha256(shard_id || ':' || lower(operation) || ':' || path) AS record_checksum
 FROM log WHERE byte_size < 500""",
     ),
+    "record_validate": """
+SELECT event_id + 1 AS "offset", CASE event_type WHEN 'view' THEN 'operation' ELSE '' END AS violations
+FROM events""",
     "log_offset": "SELECT count(*) AS records, max(event_id + 1) AS last_offset FROM events",
     "log_json_roundtrip": t.with_ctes(
         t.LOG_SQL,

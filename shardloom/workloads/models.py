@@ -146,7 +146,7 @@ def latest_checkpoint(spark: SparkSession, folder: str) -> DataFrame:
 
 def _config():
     model = h.config_document(
-        F.create_map(F.lit("name"), h.json_text(F.lit("fusion_baseline")), F.lit("classes"), F.lit("10"))
+        F.create_map(F.lit("name"), h.json_text(F.lit("late_fusion")), F.lit("classes"), F.lit("10"))
     )
     return F.create_map(
         F.lit("profile"), h.json_text(F.col("o_orderpriority")),
@@ -188,7 +188,7 @@ def run_manifest(spark: SparkSession, folder: str) -> DataFrame:
     rows = _logits(spark, folder)
     measured = sc.evaluate(rows, "logits", "label")
     classes = rows.agg(F.max("label") + 1).scalar()
-    config = F.create_map(F.lit("name"), h.json_text(F.lit("fusion_baseline")))
+    config = F.create_map(F.lit("name"), h.json_text(F.lit("late_fusion")))
     one = measured.select(
         *r.run_manifest(
             run_id=F.lit("run"),
@@ -196,7 +196,7 @@ def run_manifest(spark: SparkSession, folder: str) -> DataFrame:
             config_hash=h.config_hash(config),
             log_offset=m.stamp(t.log(spark, folder)),
             profile=F.lit("cluster"),
-            model_name=F.lit("fusion_baseline"),
+            model_name=F.lit("late_fusion"),
             classes=classes,
             max_steps=F.lit(fu.MAX_STEPS),
             best_val_loss=F.col("val_loss"),
@@ -275,7 +275,7 @@ registry AS (
 _CONFIG_SQL = """
 configured AS (
   SELECT *, substr(sha256('{"final": ' || CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END
-    || ', "model": {"classes": 10, "name": "fusion_baseline"}, "profile": "' || o_orderpriority
+    || ', "model": {"classes": 10, "name": "late_fusion"}, "profile": "' || o_orderpriority
     || '", "seed": ' || o_custkey || '}'), 1, 16) AS config_hash
   FROM orders
 )"""
@@ -359,9 +359,9 @@ SELECT CAST(o_orderkey AS VARCHAR), 'val_accuracy', '0.5' FROM orders WHERE o_or
         _LOGITS_SQL,
         body="""
 SELECT CAST(1 AS INTEGER) AS schema_version, 'run' AS run_id, 'unknown' AS git_sha,
-       substr(sha256('{"name": "fusion_baseline"}'), 1, 16) AS config_hash,
+       substr(sha256('{"name": "late_fusion"}'), 1, 16) AS config_hash,
        (SELECT max(event_id + 1) FROM events) AS delta_log_offset, 'cluster' AS profile,
-       'fusion_baseline' AS model_name, CAST(max(label) + 1 AS BIGINT) AS num_classes,
+       'late_fusion' AS model_name, CAST(max(label) + 1 AS BIGINT) AS num_classes,
        CAST(100 AS BIGINT) AS max_steps, round(avg(loss), 6) AS best_val_loss,
        round(avg(correct), 6) AS val_accuracy
 FROM outcome""",

@@ -135,9 +135,9 @@ def listing(spark, *rows):
 
 def test_pairing_and_missing(spark):
     iris = listing(spark, ("1", "i/1/b"), ("1", "i/1/a"), ("2", "i/2/a"), ("4", "i/4/a"))
-    prints = listing(spark, ("1", "f/1/z"), ("1", "f/1/b"), ("2", "f/2/q"), ("3", "f/3/a"))
+    prints = listing(spark, ("1", "f/1/b-0/a"), ("1", "f/1/b/z"), ("2", "f/2/q"), ("3", "f/3/a"))
     pairs = {(r.iris_path, r.fingerprint_path, bytes(r.fingerprint_bytes)) for r in p.pair(iris, prints).collect()}
-    assert pairs == {("i/1/a", "f/1/b", b"f/1/b"), ("i/1/b", "f/1/b", b"f/1/b"), ("i/2/a", "f/2/q", b"f/2/q")}
+    assert pairs == {("i/1/a", "f/1/b/z", b"f/1/b/z"), ("i/1/b", "f/1/b/z", b"f/1/b/z"), ("i/2/a", "f/2/q", b"f/2/q")}
     assert sorted(r[0] for r in p.common_subjects(iris, prints).collect()) == ["1", "2"]
     folders = spark.createDataFrame([("5",), ("1",)], "subject_id string")
     missing = {tuple(r) for r in p.missing_modality(iris, prints, folders, "root/").collect()}

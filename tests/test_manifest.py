@@ -120,7 +120,7 @@ def test_replay(spark):
     log = append(spark, m.empty_log(spark), *[(f"s{i}", "ADD") for i in range(6)])
     assert [r.shard_id for r in m.replay(log, 3, strict=True).collect()] == ["s3", "s4", "s5"]
     bad = log.withColumn(
-        "record_checksum", F.when(F.col("offset") == 3, "badc0ffe" * 8).otherwise(F.col("record_checksum"))
+        "record_checksum", F.when(F.col("offset") == 3, "feedface" * 8).otherwise(F.col("record_checksum"))
     )
     with pytest.raises(DeltaLogCorruptionError) as caught:
         m.replay(bad, strict=True)

@@ -160,7 +160,7 @@ def manifest(spark):
     extra = F.create_map(F.lit("val_accuracy"), F.lit("0.5"), F.lit("profile"), F.lit("mine"))
     return spark.range(1).select(
         *r.run_manifest(
-            F.lit("abc"), F.lit("deadcafe"), F.lit("0000"), F.lit(5), F.lit("local"), F.lit("fusion"),
+            F.lit("abc"), F.lit("0f1e2d3c"), F.lit("0000"), F.lit(5), F.lit("local"), F.lit("fusion"),
             F.lit(20), F.lit(50), F.lit(None), F.lit("2024-01-01").cast("timestamp"), extra,
         )
     )
@@ -169,7 +169,7 @@ def manifest(spark):
 def test_tags_are_strings_and_extra_tags_win(spark):
     tags = {x.key: x.value for x in r.run_tags(manifest(spark)).collect()}
     assert tags == {
-        "run_id": "abc", "git_sha": "deadcafe", "config_hash": "0000", "delta_log_offset": "5", "profile": "mine",
+        "run_id": "abc", "git_sha": "0f1e2d3c", "config_hash": "0000", "delta_log_offset": "5", "profile": "mine",
         "model_name": "fusion", "schema_version": "1", "val_accuracy": "0.5",
     }
 
