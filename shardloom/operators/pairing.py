@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shardloom.errors import MissingModalityError, ShardNotFoundError
 from shardloom.functions.hashing import path_order
-from shardloom.session import measured, value_rows
+from shardloom.session import BROADCAST_BYTES, BROADCAST_ROWS, counted, value_rows, weighed
 
 MODALITIES = ("iris", "fingerprint")
 
@@ -23,16 +23,22 @@ def pair(iris: DataFrame, fingerprint: DataFrame) -> DataFrame:
     """Every iris image with its subject's first fingerprint in path order.
 
     Both inputs are (subject_id, path, content). The first path is found on keys alone, with
-    map-side combine; contents are joined last. The joined side has one row per subject, so a hot
-    subject is split on the iris side by AQE's skew join, or the side is broadcast when small.
+    map-side combine; contents are joined last. The joined side has one row per subject: it is
+    broadcast if its contents weigh little, which leaves the iris images where they are; otherwise
+    both sides shuffle and AQE's skew join splits a hot subject on the iris side.
     """
     ordered = fingerprint.withColumn("_at", path_order(F.col("path")))
-    first = measured(ordered.groupBy("subject_id").agg(F.min("_at").alias("_at")))
-    chosen = ordered.join(first, ["subject_id", "_at"]).select(
+    first, subjects = counted(ordered.groupBy("subject_id").agg(F.min("_at").alias("_at")))
+    few = subjects <= BROADCAST_ROWS
+    chosen = ordered.join(F.broadcast(first) if few else first, ["subject_id", "_at"]).select(
         "subject_id",
         F.col("path").alias("fingerprint_path"),
         F.col("content").alias("fingerprint_bytes"),
     )
+    if few:
+        chosen, _, weight = weighed(chosen, "fingerprint_bytes")
+        if weight <= BROADCAST_BYTES:
+            chosen = F.broadcast(chosen)
     return iris.select(
         "subject_id", F.col("path").alias("iris_path"), F.col("content").alias("iris_bytes")
     ).join(chosen, "subject_id")
@@ -58,11 +64,11 @@ def missing_modality(
             subjects.select("subject_id", F.lit(0).alias("_iris"), F.lit(0).alias("_finger"))
         )
     # One aggregation does the full outer join: partial sums shrink a hot subject before the shuffle.
-    counted = seen.groupBy("subject_id").agg(
+    sides = seen.groupBy("subject_id").agg(
         F.max("_iris").alias("_iris"), F.max("_finger").alias("_finger")
     )
     modality = F.when(F.col("_iris") == 0, MODALITIES[0]).when(F.col("_finger") == 0, MODALITIES[1])
-    missing = counted.select("subject_id", modality.alias("modality")).filter(
+    missing = sides.select("subject_id", modality.alias("modality")).filter(
         F.col("modality").isNotNull()
     )
     missing = missing.withColumn(

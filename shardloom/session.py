@@ -65,14 +65,24 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Limits of a broadcast side: rows of short keys, and bytes where a side carries contents.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def counted(df: DataFrame) -> tuple[DataFrame, int]:
     """Like :func:`durable`, with the number of rows observed while they were written."""
-    seen = Observation("rows")
-    fixed = durable(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return fixed, seen.get["rows"]
+    fixed, rows, _ = weighed(df)
+    return fixed, rows
+
+
+def weighed(df: DataFrame, content: str | None = None) -> tuple[DataFrame, int, int]:
+    """Like :func:`counted`, with the summed length of ``content`` as well."""
+    size = F.lit(0) if content is None else F.coalesce(F.sum(F.octet_length(content)), F.lit(0))
+    seen = Observation("written")
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), size.cast("bigint").alias("bytes"))
+    fixed = durable(watched)
+    return fixed, seen.get["rows"], seen.get["bytes"]
 
 
 def measured(df: DataFrame) -> DataFrame:
