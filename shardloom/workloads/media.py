@@ -13,7 +13,8 @@ from shardloom.workloads import tables as t
 
 SIDE = 8  # a vector of 64 numbers is an 8 x 8 tile
 SEED = 42
-SHEET_TILES = 256
+SHEET_TILES = 64  # 64 tiles of 64 pixels fill a 64 x 64 picture
+SHEET_SIDE = 64
 SIZES = {"iris": (SIDE, SIDE), "fingerprint": (SIDE, SIDE)}
 
 
@@ -22,9 +23,9 @@ def _grey(vector):
     return F.transform(vector, lambda x: F.floor((x.cast("double") + 1.0) * 127.5).cast("int"))
 
 
-def _weighted(tile):
+def _weighted(tile, digits: int = 6):
     """One number that every element and its place takes part in."""
-    return F.round(a.total(F.transform(tile, lambda x, i: x.cast("double") * (i + 1))), 6)
+    return F.round(a.total(F.transform(tile, lambda x, i: x.cast("double") * (i + 1))), digits)
 
 
 def _encoded(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,18 +72,20 @@ def decode_quarantine(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _sheets(spark: SparkSession, folder: str) -> str:
-    """A media directory: contact sheets of up to 256 tiles per subject and modality."""
+    """A media directory: contact sheets of up to 64 tiles per subject and modality."""
     root = new_folder(spark, "media")
     vectors = t.table(spark, folder, "embeddings").select(
         F.concat(F.lit("src"), F.col("label").cast("string")).alias("subject_id"),
         F.floor(F.col("vec_id") / SHEET_TILES).alias("sheet"),
         F.struct("vec_id", _grey(F.col("embedding")).alias("tile")).alias("entry"),
     )
-    # At most 256 vectors share a sheet number, so a group is bounded whatever the label.
+    # At most 64 vectors share a sheet number, so a group is bounded whatever the label.
+    tiles = F.flatten(F.sort_array(F.collect_list("entry"))["tile"])
+    blank = F.array_repeat(F.lit(0), SHEET_SIDE * SHEET_SIDE)
     sheets = vectors.groupBy("subject_id", "sheet").agg(
-        F.flatten(F.sort_array(F.collect_list("entry"))["tile"]).alias("grey")
+        F.slice(F.concat(tiles, blank), 1, SHEET_SIDE * SHEET_SIDE).alias("grey")
     )
-    encoded = media.encode_png(sheets, "grey", SIDE, "content")
+    encoded = media.encode_png(sheets, "grey", SHEET_SIDE, "content")
     places = F.array(F.lit("iris/{}/left/"), F.lit("fingerprint/{}/"))
     files = encoded.select("subject_id", "sheet", "content", F.explode(places).alias("place"))
     name = F.concat(
@@ -104,7 +107,7 @@ def decode_images(spark: SparkSession, folder: str) -> DataFrame:
     return tiles.select(
         F.regexp_extract("path", r"/((?:iris|fingerprint)/.*)$", 1).alias("name"),
         F.size("tile").alias("pixels"),
-        _weighted(F.col("tile")).alias("weighted_sum"),
+        _weighted(F.col("tile"), 3).alias("weighted_sum"),
     )
 
 
@@ -237,6 +240,22 @@ judged AS (
     "media_scan": f"""
 SELECT DISTINCT modality, 'src' || label AS subject_id, 'sheet_' || vec_id // {SHEET_TILES} AS stem
 FROM embeddings, (VALUES ('iris'), ('fingerprint')) AS v(modality)""",
+    "decode_images": f"""
+WITH placed AS (
+  SELECT 'src' || label AS subject_id, vec_id // {SHEET_TILES} AS sheet, {_UNIT_SQL} AS tile,
+         row_number() OVER (PARTITION BY label, vec_id // {SHEET_TILES} ORDER BY vec_id) - 1 AS place
+  FROM embeddings
+),
+elements AS (
+  SELECT subject_id, sheet, unnest(tile) AS x, place * 64 + unnest(range(1, 65)) AS weight FROM placed
+),
+sheets AS (
+  SELECT subject_id, sheet, round(sum(CAST(x AS DOUBLE) * weight), 3) AS weighted_sum
+  FROM elements GROUP BY subject_id, sheet
+)
+SELECT replace(folder, '#', subject_id) || 'sheet_' || sheet || '.png' AS name,
+       CAST({SHEET_SIDE * SHEET_SIDE} AS INTEGER) AS pixels, weighted_sum
+FROM sheets, (VALUES ('iris/#/left/'), ('fingerprint/#/')) AS v(folder)""",
     "normalize_tiles": t.with_ctes(
         _TILES_SQL,
         """

@@ -48,3 +48,17 @@ def test_neighbour_equals_a_plain_window(spark):
                 expected[row[2]] = own[other][3] if 0 <= other < len(own) else None
         assert found.columns == ["k", "t", "i", "v", "x"]
         assert {r.i: r.x for r in found.collect()} == expected
+
+
+def test_empty_inputs_are_counted(spark):
+    from shardloom.session import counted, measured, weighed
+
+    nothing = spark.createDataFrame([], "g string, k int, b binary")
+    for df in (nothing, nothing.filter("false"), nothing.limit(0), spark.range(5).filter("id > 9")):
+        assert counted(df)[1] == 0 and measured(df).count() == 0
+    assert weighed(nothing, "b")[1:] == (0, 0)
+    assert positions(nothing.select("g", "k"), ["k"], ["g"]).count() == 0
+    some = spark.createDataFrame([(b"abc",), (None,)], "b binary")
+    assert weighed(some, "b")[1:] == (2, 3)
+    found = neighbour(nothing.select("g", "k"), ["g"], "k", "k", F.col("k"), F.col("k"), "x", hot_rows=1, sample=1.0)
+    assert found.count() == 0

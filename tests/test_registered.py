@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as contract
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-WITHOUT_SQL = {"decode_images", "fit_classifier"}
+WITHOUT_SQL = {"fit_classifier"}
 
 
 @pytest.fixture(scope="module")
