@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.llm import mixing, quality_rules, sharding, tokens
+from shardloom.llm import mixing, quality_rules, sharding, simhash, tokens
+
+from shardloom.llm.frames import stored
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,6 +36,12 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.place(_documents(spark, folder)).select("doc_id", "slot", "shard")
 
 
+def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    marked = stored(simhash.fingerprints(_documents(spark, folder), keep=["doc_id"]), "simhash")
+    named = simhash.components(marked)
+    return named.select("doc_id", simhash.hex_of().alias("fingerprint"), "component_id")
+
+
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     sized = mixing.sizes(_documents(spark, folder)).select("doc_id", "source", "size")
     rows = mixing.taken_by_row(mixing.units_of(sized, ["doc_id"]))
@@ -44,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op6_quality_rules": op6_quality_rules,
     "op7_sharding": op7_sharding,
+    "op8_simhash": op8_simhash,
     "op10_mixing": op10_mixing,
 }
 SQL: dict[str, str] = {}
