@@ -82,9 +82,9 @@ def as_blocks(array: np.ndarray, width: int, first: int = 0) -> Iterator[pa.Reco
     )
 
 
-def summed(parts: DataFrame, dtype: str, most: int | None = None) -> DataFrame:
-    """Add up the blocks of all tasks, cell by cell, at ``most`` each. A task streams through the
-    payloads of its blocks and holds one block, however many payloads there are."""
+def merged(parts: DataFrame, dtype: str, combine: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """Combine the blocks of all tasks, two at a time. A task streams through the payloads of its
+    blocks and holds one block, however many payloads there are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, total = None, None
@@ -102,10 +102,8 @@ def summed(parts: DataFrame, dtype: str, most: int | None = None) -> DataFrame:
                     if at is not None:
                         yield done()
                     at, total = block, cells.copy()
-                elif most is None:
-                    total += cells
                 else:
-                    np.minimum(total + cells, most, out=total)
+                    total = combine(total, cells)
         if at is not None:
             yield done()
 

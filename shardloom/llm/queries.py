@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.llm import mixing, quality_rules, sharding, simhash, tokens
+from shardloom.llm import mixing, quality_rules, sharding, simhash, substrings, tokens
 
 from shardloom.llm.frames import stored
 
@@ -42,6 +42,12 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return named.select("doc_id", simhash.hex_of().alias("fingerprint"), "component_id")
 
 
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = substrings.remove_repeats(_documents(spark, folder), keep=["doc_id"])
+    digest = F.sha2(F.col("kept_text").cast("binary"), 256)
+    return cleaned.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
+
+
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     sized = mixing.sizes(_documents(spark, folder)).select("doc_id", "source", "size")
     rows = mixing.taken_by_row(mixing.units_of(sized, ["doc_id"]))
@@ -53,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_sharding": op7_sharding,
     "op8_simhash": op8_simhash,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_mixing": op10_mixing,
 }
 SQL: dict[str, str] = {}
