@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.llm import mixing, quality_rules, sharding, simhash, substrings, tokens
+from shardloom.llm import decontaminate, mixing, quality_rules, sharding, simhash, substrings, tokens
 
 from shardloom.llm.frames import stored
 
@@ -21,6 +21,11 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return _table(spark, folder, "documents")
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    items = _table(spark, folder, "benchmark")
+    return decontaminate.find(_documents(spark, folder), items, keep=["doc_id"])
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = str(public_tokenizers.path("piece_bpe_32k.model"))
     return tokens.count_tokens(_documents(spark, folder), path, keep=["doc_id"])
@@ -55,6 +60,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_decontamination": op3_decontamination,
     "op4_token_counts": op4_token_counts,
     "op6_quality_rules": op6_quality_rules,
     "op7_sharding": op7_sharding,
