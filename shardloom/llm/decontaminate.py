@@ -1,6 +1,6 @@
 """Benchmark items inside documents, exact or edited, found by a random-walk embedding.
 
-Words are the symbols (A-Z lower-cased). From every word of a text a random walk reads a window: each
+Lower-cased words are the symbols. From every word of a text a random walk reads a window: each
 step puts out the word it stands on and moves on to the next word or stays, as a bit of the word's hash
 for that step says. Equal symbols walk alike and fall back into step after an edit, so few edits leave
 most of the output alike: edit distance becomes Hamming distance. The first coordinates of a walk do
@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,7 +57,7 @@ def samples(walks: int) -> list[list[list[int]]]:
 
 def symbols(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all rows with a stop behind each row, and each row's first (one more at the end)."""
-    found = words(texts, lower=True)
+    found = words(pc.utf8_lower(pc.cast(texts, pa.large_string())))
     n = found.counts
     first = np.concatenate([[0], np.cumsum(n + 1)])
     out = np.full(first[-1], _STOP, np.uint64)
