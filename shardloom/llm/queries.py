@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.llm import decontaminate, mixing, quality_rules, sharding, simhash, substrings, tokens
+from shardloom.llm import decontaminate, mixing, quality_model, quality_rules, sharding, simhash, substrings, tokens
 
 from shardloom.llm.frames import stored
 
@@ -21,6 +21,17 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return _table(spark, folder, "documents")
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
+    scored = quality_model.score(
+        _documents(spark, folder), _table(spark, folder, "labels"), fold != 2, keep=["doc_id"]
+    )
+    held_out = F.coalesce(fold == 2, F.lit(False))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     items = _table(spark, folder, "benchmark")
     return decontaminate.find(_documents(spark, folder), items, keep=["doc_id"])
@@ -60,6 +71,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op3_decontamination": op3_decontamination,
     "op4_token_counts": op4_token_counts,
     "op6_quality_rules": op6_quality_rules,
