@@ -35,6 +35,7 @@ ROWS = 2  # of the sketch
 LEAST_CELLS, MOST_CELLS = 1 << 20, 1 << 28  # of a row of the sketch; a cell takes two bits
 BLOCK_CELLS = 1 << 16
 BUCKET_BYTES = 16 << 20  # of text for each bucket of the exact pass
+LEAST_BUCKETS = 64
 CHUNK = 1_000_000  # windows a task holds before it hands them on
 SETTLED = np.uint32(0xFFFFFFFF)
 
@@ -132,6 +133,7 @@ def repeated_cells(texts: DataFrame, width: int, window: int = WINDOW, anchor: i
 # --- exact groups ----------------------------------------------------------------------------------------
 
 _WINDOWS = np.dtype([("a", "<u8"), ("b", "<u4"), ("text", "<u4"), ("at", "<u4")])
+_BUCKETED = np.dtype([*_WINDOWS.descr, ("bucket", "<u8")])
 
 
 def _ranges(at: np.ndarray) -> np.ndarray:
@@ -185,8 +187,12 @@ def _candidates(bits, width: int, buckets: int, window: int, anchor: int):
         found["text"][sizes > 1] = SETTLED
         lead = np.concatenate([[True], (found["a"][1:] != found["a"][:-1]) | (found["b"][1:] != found["b"][:-1])])
         found = found[lead]
-        bucket = (found["b"].astype(np.int64) * 2_654_435_761 >> 8) % buckets
-        found, bucket = found[order := np.argsort(bucket, kind="stable")], bucket[order]
+        bucket = (found["bucket"] % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        bucket, plain = bucket[order], np.empty(len(found), _WINDOWS)
+        for name in _WINDOWS.names:
+            plain[name] = found[name][order]
+        found = plain
         edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
         payloads = []
         for s, e in zip(edge, np.append(edge[1:], len(found))):
@@ -209,9 +215,10 @@ def _candidates(bits, width: int, buckets: int, window: int, anchor: int):
                 hit = np.ones(len(first), bool)
                 for k, cells in enumerate(_cells(anchors, width)):
                     hit &= repeated[k][cells >> 3] >> (cells & 7).astype(np.uint8) & 1 > 0
-                first = first[hit]
+                first, anchors = first[hit], anchors[hit]
                 if len(first):
-                    part = np.empty(len(first), _WINDOWS)
+                    part = np.empty(len(first), _BUCKETED)
+                    part["bucket"] = anchors  # neighbours share it, so a text's ranges stay together
                     part["a"] = rolling(found.hashes(0), window, 0)[first]
                     part["b"] = rolling(found.hashes(1), window, 1)[first] >> np.uint64(32)
                     row = found.row[first]
@@ -300,7 +307,7 @@ def repeated_ranges(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
     if width is None:
         # About one word in 51 bytes of text carries an anchor; four cells for each keep most others out.
         width = min(max(1 << (int(size * 4 / 51)).bit_length(), LEAST_CELLS), MOST_CELLS)
-    buckets = max(1, -(-size // BUCKET_BYTES))
+    buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
     bits = texts.sparkSession.sparkContext.broadcast(repeated_cells(texts, width, window, anchor))
     parts = texts.mapInArrow(_candidates(bits, width, buckets, window, anchor), PARTS)
     found = parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_compare, RANGES)

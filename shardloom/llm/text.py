@@ -1,7 +1,7 @@
 """Words of whole texts as NumPy arrays over one Arrow buffer.
 
 A word is a maximal run of bytes outside ``\\x20`` and ``\\x09-\\x0D``. Nothing here looks at more
-than a few megabytes of text at once, however long a batch is; a single long text is one piece.
+than a megabyte or so of text at once, however long a batch is; a single long text is one piece.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
