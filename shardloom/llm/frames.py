@@ -116,3 +116,53 @@ def gathered(blocks: DataFrame, dtype: str, width: int, n_blocks: int) -> np.nda
     for row in blocks.toLocalIterator():
         whole[row["block"]] = unsqueeze(bytes(row["payload"]), dtype)
     return whole.reshape(-1)
+
+
+# --- rows of packed arrays, dealt out by bucket -----------------------------------------------------------
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Several arrays as one compressed payload."""
+    parts = [np.ascontiguousarray(a).tobytes() for a in arrays]
+    head = np.array([len(p) for p in parts], "<i8").tobytes()
+    return squeeze(np.frombuffer(head + b"".join(parts), np.uint8))
+
+
+def unpack(payload: bytes, *dtypes) -> list[np.ndarray]:
+    data = unsqueeze(payload, np.uint8).tobytes()
+    sizes = np.frombuffer(data, "<i8", len(dtypes)).tolist()
+    at, out = 8 * len(dtypes), []
+    for size, dtype in zip(sizes, dtypes):
+        out.append(np.frombuffer(data[at : at + size], dtype))
+        at += size
+    return out
+
+
+def by_bucket(
+    parts: DataFrame,
+    work: Callable[[int, list[bytes]], Iterator[pa.RecordBatch]],
+    schema: str,
+    through: Sequence[str] = (),
+) -> DataFrame:
+    """Hand all payloads of a bucket to ``work`` at once. Rows without a payload pass by, with their
+    ``through`` columns. Choose the number of buckets by the size of the input, so that each fits a task."""
+    names = list(through)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for batch in batches:
+            payload = batch.column("payload")
+            passing = batch.filter(payload.is_null()).select(names)
+            if passing.num_rows:
+                yield passing
+            own = batch.filter(payload.is_valid())
+            for bucket, data in zip(own.column("bucket").to_pylist(), own.column("payload").to_pylist()):
+                if bucket != at and held:
+                    yield from work(at, held)
+                    held = []
+                at = bucket
+                held.append(data)
+        if held:
+            yield from work(at, held)
+
+    return parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)

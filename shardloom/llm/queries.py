@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.llm import decontaminate, mixing, quality_model, quality_rules, sharding, simhash, substrings, tokens
+from shardloom.llm import decontaminate, lm_scoring, mixing, quality_model, quality_rules, sharding, simhash, substrings, tokens
 
 from shardloom.llm.frames import stored
 
@@ -32,6 +32,12 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
+    docs = _documents(spark, folder).withColumn("held_out", F.coalesce(fold == 1, F.lit(False)))
+    return lm_scoring.score(docs, ~F.col("held_out"), keep=["doc_id", "held_out"])
+
+
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     items = _table(spark, folder, "benchmark")
     return decontaminate.find(_documents(spark, folder), items, keep=["doc_id"])
@@ -72,6 +78,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_decontamination": op3_decontamination,
     "op4_token_counts": op4_token_counts,
     "op6_quality_rules": op6_quality_rules,
