@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.llm import decontaminate, lm_scoring, mixing, quality_model, quality_rules, sharding, simhash, substrings, tokens
+from shardloom.llm import decontaminate, licenses, lm_scoring, mixing, quality_model, quality_rules, sharding, simhash, substrings, tokens
 
 from shardloom.llm.frames import stored
 
@@ -48,6 +48,20 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.count_tokens(_documents(spark, folder), path, keep=["doc_id"])
 
 
+#: Documents as a tree of files: a folder a source, one in it for a language, and in that one for 50
+#: numbers each, whose first document plays the folder's licence file.
+FILE_PATH = (
+    "concat_ws('/', coalesce(source, 'none'), coalesce(lang, 'none'), CAST(doc_id DIV 50 AS STRING),"
+    " CASE WHEN doc_id % 50 = 0 THEN 'LICENSE' ELSE concat(CAST(doc_id AS STRING), '.txt') END)"
+)
+
+
+def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    files = _documents(spark, folder).withColumn("path", F.expr(FILE_PATH))
+    scanned = licenses.scan(files, keep=["doc_id", "path"])
+    return scanned.select("doc_id", "path", "licence", "cosine", "via", "licence_directory")
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge(_documents(spark, folder), keep=["doc_id"])
     counts = [F.col(c) for c in quality_rules.COUNTS]
@@ -81,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_lm_scoring": op2_lm_scoring,
     "op3_decontamination": op3_decontamination,
     "op4_token_counts": op4_token_counts,
+    "op5_licenses": op5_licenses,
     "op6_quality_rules": op6_quality_rules,
     "op7_sharding": op7_sharding,
     "op8_simhash": op8_simhash,
