@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shardloom.llm import mixing, quality_rules, sharding
+from shardloom.llm import decontaminate, mixing, quality_rules, sharding, simhash
 from shardloom.llm.frames import stored
 
 
@@ -20,6 +20,16 @@ def by_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return judged.filter("kept").select(*docs.columns)
 
 
+def by_simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near-duplicates (4-word shingles, at most 4 bits apart)."""
+    return simhash.one_of_each(docs, shingle=simhash.SHINGLE)
+
+
+def by_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, exact or edited."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def by_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the balanced mix takes them."""
     return mixing.mix(docs)
@@ -32,6 +42,8 @@ def by_shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", by_quality_rules),
+    ("simhash near-dedup", by_simhash),
+    ("benchmark decontamination", by_benchmark),
     ("mixing", by_mix),
     ("sharding", by_shard),
 ]
