@@ -6,7 +6,7 @@ source with ratio ``target / size = whole + part`` is taken ``whole`` times for
 with probability ``part``. Which documents get that extra copy is balanced sampling: inclusion
 probabilities move through the null space of the constraints "number of documents" and "number of
 words" until they are 0 or 1 (the flight); every group of documents leaves at most two undecided,
-these fly together again, and at most two documents a source are left to the landing.
+these fly together again, and at most ten documents a source are left to the landing.
 
 Equal rows count as one unit with a multiplicity: all but one of their extra copies are then certain.
 Null texts and empty texts have size 0 and follow the same draw. Draws come from hashes, so reruns
@@ -31,6 +31,7 @@ WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 GROUP_ROWS = 10_000
 LARGE = 4  # times the median size
+LANDING = 10  # documents a source leaves to the landing
 RESERVE = 200
 WORD = r"[^\x20\x09-\x0D]+"
 SEED = 20_240_301
@@ -104,22 +105,25 @@ def settle(p: np.ndarray, s: np.ndarray, unit: int, draws: Iterator[float]) -> N
         _step(p, np.append(u, 1.0), np.append(others, unit), next(draws))
 
 
-def fly(chance: np.ndarray, size: np.ndarray, draws: Iterator[float]) -> np.ndarray:
-    """Move probabilities until at most two lie strictly between 0 and 1, keeping their sum and
-    their sum weighted by size, and every expectation. ``size`` falls.
+def fly(chance: np.ndarray, size: np.ndarray, draws: Iterator[float], leave: int = 2) -> np.ndarray:
+    """Move probabilities until at most ``leave`` lie strictly between 0 and 1, keeping their sum and
+    their sum weighted by size, and every expectation. ``size`` falls. Where only documents of one size
+    are left to make up for another, the words are kept and the number of documents gives way.
 
     Large documents are decided first, while many others can make up for them; then three documents
     at a time move along the one direction that keeps both sums; the smallest are kept for the end,
     where they make up for what the middle has left."""
     p, s = chance.copy(), size
     open_ = np.flatnonzero((p > 0) & (p < 1))
-    if len(open_) > 2:
+    if len(open_) > leave:
         usual = np.median(s[open_])
         for k in open_[s[open_] > LARGE * usual]:
             settle(p, s, k, draws)
         open_ = np.flatnonzero((p > 0) & (p < 1))
         _by_threes(p, s, open_[:-RESERVE], draws)
         for k in np.flatnonzero((p > 0) & (p < 1)):
+            if ((p > 0) & (p < 1)).sum() <= leave:
+                break
             settle(p, s, k, draws)
     return p
 
@@ -154,20 +158,19 @@ def _by_threes(p: np.ndarray, s: np.ndarray, units: np.ndarray, draws: Iterator[
     p[units] = q
 
 
-def land(chance: np.ndarray, draw: float) -> np.ndarray:
-    """Decide the last one or two documents of a source: as many in all as expected, to the nearest
-    whole number, and each with its probability."""
+def land(chance: np.ndarray, size: np.ndarray, draws: Iterator[float]) -> np.ndarray:
+    """Decide a source's last documents, at most ``LANDING`` of them: of all ways to round them, the
+    few whose words come closest are kept, and one is drawn by how likely it was."""
     p = chance.copy()
     rest = np.flatnonzero((p > 0) & (p < 1))
-    if len(rest) == 1:
-        p[rest] = draw < p[rest[0]]
-    elif len(rest) == 2:
-        i, j = rest
-        a, b = p[i], p[j]
-        if a + b <= 1:
-            p[i], p[j] = draw < a, a <= draw < a + b
-        else:
-            p[i], p[j] = draw < 1 - b or draw >= 2 - a - b, draw >= 1 - b
+    if len(rest):
+        ways = np.arange(1 << len(rest))[:, None] >> np.arange(len(rest)) & 1
+        off = np.abs(ways @ size[rest] - p[rest] @ size[rest])
+        count = np.abs(ways.sum(axis=1) - p[rest].sum())
+        best = np.lexsort((count, off))[: 1 << max(len(rest) - 6, 0)]
+        odds = np.where(ways[best] == 1, p[rest], 1 - p[rest]).prod(axis=1)
+        pick = np.searchsorted(np.cumsum(odds) / odds.sum(), next(draws), "right")
+        p[rest] = ways[best[min(pick, len(best) - 1)]]
     return p
 
 
@@ -177,8 +180,9 @@ def _decider(last: bool):
         group = group.reset_index(drop=True)
         salt = f"{group['source'].iat[0]}/{group['_group'].iat[0]}/{len(group)}/{group['size'].sum()}"
         draws = _draws(salt)
-        chance = fly(group["chance"].to_numpy(float), group["size"].to_numpy(float), draws)
-        group["chance"] = land(chance, next(draws)) if last else chance
+        size = group["size"].to_numpy(float)
+        chance = fly(group["chance"].to_numpy(float), size, draws, LANDING if last else 2)
+        group["chance"] = land(chance, size, draws) if last else chance
         return group
 
     return decide

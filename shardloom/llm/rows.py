@@ -19,10 +19,11 @@ def row_keys(df: DataFrame) -> DataFrame:
 def repeat_rows(keyed: DataFrame, decisions: DataFrame) -> DataFrame:
     """``decisions`` has the keys, ``n`` (rows with that key) and ``copies`` (of all these together).
     Rows with a key of their own need no second look; of equal rows one is repeated for all."""
-    wanted = decisions.filter(F.col("copies") > 0)
+    wanted = decisions.filter(F.col("copies") > 0).select(
+        *KEYS, F.col("n").alias("_n"), F.col("copies").alias("_copies")
+    )
     joined = keyed.join(wanted, list(KEYS))
-    single = joined.filter(F.col("n") == 1)
-    equal = joined.filter(F.col("n") > 1).dropDuplicates(list(KEYS))
-    rows = single.unionByName(equal)
-    many = F.sequence(F.lit(1).cast("long"), F.col("copies"))
-    return rows.withColumn("_copy", F.explode(many)).drop("_copy", "copies", "n")
+    single = joined.filter(F.col("_n") == 1)
+    equal = joined.filter(F.col("_n") > 1).dropDuplicates(list(KEYS))
+    many = F.sequence(F.lit(1).cast("long"), F.col("_copies"))
+    return single.unionByName(equal).withColumn("_copy", F.explode(many)).drop("_copy", "_copies", "_n")
