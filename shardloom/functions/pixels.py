@@ -1,24 +1,18 @@
 """Small NumPy helpers that run inside Arrow batches: read one image, shrink or grow it.
 
-Pillow is used where the executors have it (it adds JPEG). Without it, PNG (8 bit, not interlaced)
-and BMP (uncompressed 8, 24 or 32 bit) are read here. Directories of images do not come this way;
-Spark's own ``image`` source decodes those.
+Binary columns may hold PNG (8 bit, not interlaced) and BMP (uncompressed 8, 24 or 32 bit), the same on
+every machine. Other formats, JPEG among them, go through directories, which Spark's own ``image`` source
+decodes.
 """
 
 from __future__ import annotations
 
-import io
 import struct
 import zlib
 from functools import lru_cache
 
 import numpy as np
 
-try:
-    from PIL import Image
-except ImportError:  # pragma: no cover - depends on the cluster image
-    Image = None
-
 PNG_SIGNATURE = b"\x89PNG\r\n\x1a\n"
 # Samples per pixel by PNG colour type; integer luma weights (16-bit fixed point).
 PNG_SAMPLES = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}
@@ -85,7 +79,7 @@ def _read_png(raw: bytes) -> np.ndarray:
         raise ValueError("PNG without header")
     width, height, depth, colour, _, _, interlace = header
     if depth != 8 or interlace or colour not in PNG_SAMPLES:
-        raise ValueError("only 8-bit, non-interlaced PNG can be read without Pillow")
+        raise ValueError("only 8-bit, non-interlaced PNG can be read")
     samples = PNG_SAMPLES[colour]
     data = np.frombuffer(zlib.decompress(b"".join(packed)), np.uint8)
     lines = data.reshape(height, 1 + width * samples)
@@ -103,7 +97,7 @@ def _read_bmp(raw: bytes) -> np.ndarray:
     (start, size, width, height) = struct.unpack_from("<IIii", raw, 10)
     bits, compression = struct.unpack_from("<HI", raw, 28)
     if compression or bits not in (8, 24, 32):
-        raise ValueError("only uncompressed 8, 24 or 32-bit BMP can be read without Pillow")
+        raise ValueError("only uncompressed 8, 24 or 32-bit BMP can be read")
     stride = (width * bits // 8 + 3) // 4 * 4
     rows = np.frombuffer(raw, np.uint8, abs(height) * stride, start).reshape(abs(height), stride)
     if height > 0:  # stored bottom-up
@@ -120,8 +114,6 @@ def read_grey(raw: bytes) -> np.ndarray:
     if not raw:
         raise ValueError("empty")
     try:
-        if Image is not None:
-            return np.asarray(Image.open(io.BytesIO(raw)).convert("L"))
         if raw.startswith(PNG_SIGNATURE):
             return _read_png(raw)
         if raw.startswith(b"BM"):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardloom.functions.hashing import content_hash, path_stem, record_checksum
-from shardloom.operators.ordering import HOT_ROWS, neighbour
+from shardloom.operators.ordering import HOT_ROWS, neighbour, time_bucket
 from shardloom.schemas import ADD, RECORD_VERSION
 
 # Fixed value: the quiet period after which a changed file counts as settled.
@@ -27,7 +27,7 @@ def debounce(
     An event survives when the next one of its path is more than ``gap`` later. A path with very many
     events is compared within time buckets, which spreads it over the cluster.
     """
-    width = F.window(time, bucket)["start"]
+    width = time_bucket(time, bucket)
     seen = neighbour(
         events, ["path"], time, tie, F.col(time), width, "_next", following=True, hot_rows=hot_rows
     )

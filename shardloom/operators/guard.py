@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardloom.errors import IngestionError, SchemaVersionError
+from shardloom.errors import GuardFault, VersionFault
 from shardloom.functions.checks import broken_rules
 from shardloom.schemas import FRAME, FRAME_VERSION
 
@@ -44,7 +44,7 @@ def too_new(df: DataFrame, supported: int, schema: str = "Frame", strict: bool =
     if strict:
         found = newer.agg(F.max(row_version())).first()[0]
         if found is not None:
-            raise SchemaVersionError(found, supported, schema)
+            raise VersionFault("rows are too new", schema=schema, found=found, supported=supported)
     return newer
 
 
@@ -94,13 +94,13 @@ def guard(
     """
     problems = schema_differences(file_schema or df.schema)
     if problems:
-        raise IngestionError(f"{source}: " + "; ".join(f"{c}: {p}" for c, p in problems))
+        raise GuardFault("; ".join(f"{c}: {p}" for c, p in problems), source=source)
     found = {r["check_name"]: r["found"] for r in table_checks(df, supported).collect()}  # 5 rows
     if found["max_version"] > supported:
-        raise SchemaVersionError(found["max_version"], supported, f"Frame of {source}")
+        raise VersionFault("rows are too new", source=source, found=found["max_version"], supported=supported)
     for name in MEDIA_COLUMNS:
         if found[f"null_{name}"]:
-            raise IngestionError(f"{source}: {found[f'null_{name}']} null(s) in {name}")
+            raise GuardFault(f"{found[f'null_{name}']} null(s) in {name}", source=source)
     return df
 
 

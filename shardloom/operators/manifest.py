@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardloom.errors import DeltaLogCorruptionError
+from shardloom.errors import LogFault
 from shardloom.functions.hashing import record_checksum
 from shardloom.operators.ordering import positions
 from shardloom.schemas import ADD, COMMIT, RECORD, RECORD_VERSION, REMOVE, UPDATE
@@ -26,9 +26,14 @@ def fill_checksum(records: DataFrame) -> DataFrame:
     )
 
 
+def checksum_holds() -> Column:
+    """Whether a record's checksum is that of its contents; never null."""
+    return F.col("record_checksum").eqNullSafe(_identity_checksum())
+
+
 def corrupt_records(records: DataFrame) -> DataFrame:
     """Records whose stored checksum does not match their contents."""
-    return records.filter(~F.col("record_checksum").eqNullSafe(_identity_checksum()))
+    return records.filter(~checksum_holds())
 
 
 def replay(records: DataFrame, from_offset: int | Column = 0, strict: bool = False) -> DataFrame:
@@ -41,7 +46,7 @@ def replay(records: DataFrame, from_offset: int | Column = 0, strict: bool = Fal
     if strict:
         first = corrupt_records(tail).orderBy("offset").select("offset", "shard_id").head()
         if first:
-            raise DeltaLogCorruptionError(first["offset"], first["shard_id"])
+            raise LogFault("a record is not what was written", **first.asDict())
         return tail.orderBy("offset")
     return tail.filter(F.col("record_checksum") == _identity_checksum()).orderBy("offset")
 

@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardloom.operators.ordering import neighbour
+from shardloom.functions.intervals import micros_of
+from shardloom.operators.ordering import neighbour, time_bucket
 
 # The upper bounds of the loader-lag histogram in seconds (``+Inf`` follows), the lag
 # that is recorded at all, the one that counts as slow, the p99 objective, the share of loading time
@@ -77,11 +78,9 @@ def breaches(quantiles: DataFrame, objective: float = P99_OBJECTIVE) -> DataFram
     return quantiles.filter(F.col("p99") > objective)
 
 
-def seconds_of(interval: str) -> int:
+def seconds_of(interval: str) -> float:
     """Length of an interval such as ``"1 minute"`` in seconds."""
-    amount, unit = interval.split()
-    units = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
-    return int(amount) * units[unit.rstrip("s")]
+    return micros_of(interval) / 1_000_000
 
 
 def sliding_rate(
@@ -128,7 +127,7 @@ def counter_rate(
     predecessor and adds nothing. A hot series is compared window by window, and only one reading
     per window crosses over.
     """
-    bucket = F.window(time, window)["start"]
+    bucket = time_bucket(time, window)
     seen = neighbour(df, series, time, tie, F.col(counter), bucket, "_before")
     now, before = F.col(counter), F.col("_before")
     increment = F.when(now >= before, now - before).when(now < before, now).otherwise(0)

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shardloom.functions.intervals import micros_of
 from shardloom.session import BROADCAST_ROWS, counted, durable
 
 _PARTITION_BITS = 33  # monotonically_increasing_id: partition index above, row index below
@@ -76,6 +77,13 @@ def placed(
     return numbered.drop("_part", "_row", "_shift"), bound
 
 
+def time_bucket(time: str, width: str) -> Column:
+    """Number of the interval of ``width`` that a time falls into; null for null, unlike a window, which
+    would leave such rows out."""
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    return F.floor(micros / F.lit(micros_of(width)))
+
+
 HOT_ROWS = 1_000_000
 SAMPLE = 0.01
 
@@ -103,7 +111,8 @@ def neighbour(
 
     Rows are ordered by ``time`` then ``tie``. Keys of usual size are sorted whole. A hot key's rows
     are sorted per ``bucket``, a coarse and ordered function of ``time`` (an hour, say), so the key
-    is spread over the cluster. Which keys count as hot changes the speed, never the result.
+    is spread over the cluster; ``bucket`` must be null exactly where ``time`` is, and such rows come
+    first. Which keys count as hot changes the speed, never the result.
     """
     key = list(key)
     step, side = (F.lead, 1) if following else (F.lag, -1)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardloom.errors import MissingModalityError, ShardNotFoundError
+from shardloom.errors import PairFault, ScanFault
 from shardloom.functions.hashing import path_order
 from shardloom.session import BROADCAST_BYTES, BROADCAST_ROWS, counted, value_rows, weighed
 
@@ -77,7 +77,7 @@ def missing_modality(
     if strict:
         row = missing.orderBy("subject_id").first()
         if row:
-            raise MissingModalityError(row["subject_id"], row["modality"], row["path"])
+            raise PairFault("a subject lacks a modality", **row.asDict())
     return missing
 
 
@@ -90,7 +90,7 @@ def missing_roots(
     if strict:
         row = absent.orderBy("modality").first()
         if row:
-            raise ShardNotFoundError(row["modality"], f"{location}/{row['modality']}")
+            raise ScanFault("a modality has no files", modality=row["modality"], location=location)
     return absent
 
 
@@ -104,5 +104,5 @@ def shards_not_found(
     if strict:
         row = absent.orderBy("shard_id").first()
         if row:
-            raise ShardNotFoundError(row["shard_id"], location)
+            raise ScanFault("a shard is not there", shard_id=row["shard_id"], location=location)
     return absent

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from shardloom.errors import ModelRegistryError
+from shardloom.errors import RegistryFault
 from shardloom.operators.ordering import join_null_safe, positions
 from shardloom.schemas import MANIFEST_VERSION
 
@@ -38,7 +38,7 @@ def latest(registry: DataFrame) -> DataFrame:
 def latest_uri(registry: DataFrame, name: str) -> str:
     row = latest(registry.filter(F.col("name") == name)).first()
     if row is None:
-        raise ModelRegistryError(f"no version of {name!r}")
+        raise RegistryFault("no version of this name", name=name)
     return row["uri"]
 
 
@@ -46,7 +46,7 @@ def find(registry: DataFrame, uri: str) -> Row:
     """The registry row of a version URI."""
     row = registry.filter(F.col("uri") == uri).first()
     if row is None:
-        raise ModelRegistryError(f"no version {uri!r}")
+        raise RegistryFault("no such version", uri=uri)
     return row
 
 

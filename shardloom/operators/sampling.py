@@ -60,14 +60,18 @@ def make_batches(
     group: Sequence[str] = (),
     batch_size: int = DEFAULT_BATCH,
     drop_last: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """(group, order, batch_id, slot): consecutive batches; ``drop_last`` leaves out a short tail."""
-    placed = positions(df.select(*group, *order), order, group)
+    """(group, order, carry, batch_id, slot): consecutive batches; ``drop_last`` leaves out a short tail.
+
+    ``carry`` names slim columns that go along, which saves joining them back."""
+    placed = positions(df.select(*group, *order, *carry), order, group)
     if drop_last:
         placed = placed.filter(F.col("pos") < F.col("n") - F.col("n") % batch_size)
     return placed.select(
         *group,
         *order,
+        *carry,
         F.floor(F.col("pos") / batch_size).cast("bigint").alias("batch_id"),
         (F.col("pos") % batch_size).cast("bigint").alias("slot"),
     )

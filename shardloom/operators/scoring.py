@@ -102,18 +102,26 @@ def with_outcome(df: DataFrame, logits: str, label: str) -> DataFrame:
 
 
 def evaluate(df: DataFrame, logits: str, label: str) -> DataFrame:
-    """One row: n, val_loss, val_accuracy; both NaN without samples."""
+    """One row: n, n_unscored, val_loss, val_accuracy; both NaN without samples.
+
+    A row whose label has no logit counts as a wrong answer and has no loss; ``n_unscored`` says how
+    many such rows there are, so that a loss over fewer rows than ``n`` is seen."""
     nan = F.lit(float("nan"))
     scored = with_outcome(df.select(logits, label), logits, label)
     return scored.agg(
         F.count("*").alias("n"),
+        F.count_if(F.col("loss").isNull()).alias("n_unscored"),
         F.coalesce(F.avg("loss"), nan).alias("val_loss"),
         F.coalesce(F.avg("correct"), nan).alias("val_accuracy"),
     )
 
 
 def batch_metrics(df: DataFrame, batch: str, logits: str, label: str) -> DataFrame:
-    scored = with_outcome(df.select(batch, logits, label), logits, label)
-    return scored.groupBy(batch).agg(
+    return batch_averages(with_outcome(df.select(batch, logits, label), logits, label), batch)
+
+
+def batch_averages(outcome: DataFrame, batch: str) -> DataFrame:
+    """(batch, n, loss, accuracy) from rows of :func:`with_outcome`."""
+    return outcome.groupBy(batch).agg(
         F.count("*").alias("n"), F.avg("loss").alias("loss"), F.avg("correct").alias("accuracy")
     )

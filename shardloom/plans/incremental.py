@@ -40,7 +40,10 @@ def ingest(
     rows = m.planned_rows(frames, planned, on_empty, known=shards)
     if strict:
         g.guard(rows)
-    split = splits.stratified(rows.drop("split"), "subject_id", ["sample_id"])
+    # A sample's id may repeat over folders and shards; its contents tell such rows apart.
+    rows = rows.drop("split").withColumn("_content", F.xxhash64("iris_bytes", "fingerprint_bytes"))
+    order = ["sample_id", "source_shard", "_content"]
+    split = splits.stratified(rows, "subject_id", order).drop("_content")
     commit = m.commit_records(planned, F.current_timestamp() if at is None else at)
     return IngestRun(planned, split, commit)
 

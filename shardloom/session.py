@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -26,6 +27,8 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     }
     if partitions:
         settings["spark.sql.shuffle.partitions"] = str(partitions)
@@ -36,7 +39,8 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where the session names none."""
+    """The cluster's checkpoint folder. Where the session names none, a temporary one on a single
+    machine; on a cluster that would be a folder the executors don't share, so it is refused."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -44,6 +48,8 @@ def shared_folder(spark: SparkSession) -> str:
             sc.setCheckpointDir(named)
         return named
     if sc.getCheckpointDir() is None:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="shardloom-"))
     return sc.getCheckpointDir()
 
@@ -85,12 +91,34 @@ def weighed(df: DataFrame, content: str | None = None) -> tuple[DataFrame, int,
     return fixed, seen.get["rows"], seen.get["bytes"]
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes: texts and binaries by their length, nested values as JSON."""
+    total = F.lit(0)
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            size = F.coalesce(F.octet_length(F.col(name)), F.lit(0))
+        elif kind.startswith(("array", "map", "struct")):
+            size = F.coalesce(F.octet_length(F.to_json(F.struct(F.col(name)))), F.lit(0))
+        else:
+            size = F.lit(8)
+        total = total + size
+    return total
+
+
 def measured(df: DataFrame) -> DataFrame:
-    """A side of slim rows for a join, broadcast only if its counted size allows.
+    """A side for a join, broadcast only if its rows and bytes, as written, allow.
 
     Catalyst cannot estimate a side that comes out of an aggregation and would shuffle the large one
     before AQE knows better. The side is written down, so the count and the join see the same rows
     and nothing is computed twice. Above the limit the join shuffles as usual.
     """
-    fixed, rows = counted(df)
-    return F.broadcast(fixed) if rows <= BROADCAST_ROWS else fixed
+    seen = Observation("weighed")
+    fixed = durable(
+        df.observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(row_bytes(df)), F.lit(0)).cast("bigint").alias("bytes"),
+        )
+    )
+    small = seen.get["rows"] <= BROADCAST_ROWS and seen.get["bytes"] <= BROADCAST_BYTES
+    return F.broadcast(fixed) if small else fixed

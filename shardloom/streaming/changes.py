@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from shardloom.operators.changes import DEBOUNCE
+from shardloom.operators.changes import DEBOUNCE, debounce
 
 LATENESS = "10 minutes"
 
@@ -31,7 +31,8 @@ def settled(
 ) -> DataFrame:
     """Last event of every quiet period per path, emitted once the watermark has passed it.
 
-    ``time`` must be a TIMESTAMP; cast a zone-less one first.
+    ``time`` must be a TIMESTAMP; cast a zone-less one first. Events later than ``lateness`` are not
+    announced here: write the raw events with :func:`to_table` too, and let :func:`missed` find them.
     """
     last = F.max_by(F.struct(*events.columns), F.struct(time, tie))
     return (
@@ -42,6 +43,22 @@ def settled(
     )
 
 
+def missed(
+    raw: DataFrame,
+    settled_rows: DataFrame,
+    gap: str = DEBOUNCE,
+    time: str = "ts",
+    tie: str = "event_id",
+) -> DataFrame:
+    """Settled events that the stream has not announced, because they came behind its watermark.
+
+    ``raw`` is the table that ``to_table`` has filled with the events as they came, without a watermark;
+    ``settled_rows`` is what the stream has put out, up to the same moment. Run it now and then over
+    the period that is closed: late changes reach the log after all."""
+    known = settled_rows.select("path", tie)
+    return debounce(raw, gap, time, tie).join(known, ["path", tie], "left_anti")
+
+
 def to_table(
     stream: DataFrame, folder: str, checkpoint: str, once: bool = False, interval: str = "10 seconds"
 ) -> StreamingQuery:

@@ -13,6 +13,7 @@ from shardloom.operators import pairing as p
 from shardloom.operators import sampling as sp
 from shardloom.operators import splits as s
 from shardloom.plans.incremental import planned_split_counts
+from shardloom.schemas import FRAME
 from shardloom.session import new_folder
 from shardloom.sources import shards
 from shardloom.workloads import tables as t
@@ -45,8 +46,8 @@ def list_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 def columnar_write(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per shard after a write and a read back."""
-    written = spark.read.parquet(_stored(spark, folder))
-    return s.split_counts(written.withColumn("source_shard", F.col("source_shard").cast("string")), "source_shard")
+    written = spark.read.schema(FRAME).parquet(_stored(spark, folder))
+    return s.split_counts(written, "source_shard")
 
 
 def empty_plan_scan(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,7 +9,8 @@ from shardloom.functions.checks import broken_rules, record_rules
 from shardloom.functions.hashing import record_checksum
 from shardloom.operators import manifest as m
 from shardloom.schemas import ADD, RECORD
-from shardloom.sources.log import parse_record, record_json
+from shardloom.session import new_folder
+from shardloom.sources.log import parse_record, read_log, record_json, rejects
 from shardloom.workloads import tables as t
 
 HALFWAY = "2024-01-16 00:00:00"
@@ -56,6 +57,21 @@ def log_corrupt_rows(spark: SparkSession, folder: str) -> DataFrame:
     return m.corrupt_records(_tampered(spark, folder)).select("offset", "shard_id", "record_checksum")
 
 
+def log_reject(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of a written log that must not be folded, by reason: every 50th line is cut short, every
+    60th is of a later version, and small records are tampered with."""
+    records = _tampered(spark, folder).withColumn(
+        "schema_version", F.when(F.col("offset") % 60 == 7, 99).otherwise(F.col("schema_version"))
+    )
+    line = record_json()
+    torn = F.when(F.col("offset") % 50 == 3, F.substring(line, 1, 40)).otherwise(line)
+    path = new_folder(spark, "log-lines")
+    records.select(torn.alias("value")).write.text(path)
+    return rejects(read_log(spark, path)).groupBy("reason").agg(
+        F.count("*").alias("n"), F.sum("offset").alias("offsets")
+    )
+
+
 def record_validate(spark: SparkSession, folder: str) -> DataFrame:
     """Broken rules of every record; a commit is no change of a shard."""
     rules = F.array_join(broken_rules(record_rules()), ",")
@@ -107,6 +123,7 @@ QUERIES = {
     "log_replay": log_replay,
     "log_checksum": log_checksum,
     "log_corrupt_rows": log_corrupt_rows,
+    "log_reject": log_reject,
     "record_validate": record_validate,
     "log_offset": log_offset,
     "log_json_roundtrip": log_json_roundtrip,
@@ -146,6 +163,14 @@ SELECT "offset", sha256(shard_id || ':' || operation || ':' || path) AS record_c
         body="""
 SELECT "offset", shard_id, sha256(shard_id || ':' || lower(operation) || ':' || path) AS record_checksum
 FROM log WHERE byte_size < 500""",
+    ),
+    "log_reject": t.with_ctes(
+        t.LOG_SQL,
+        body="""
+SELECT CASE WHEN "offset" % 50 = 3 THEN 'torn' WHEN "offset" % 60 = 7 THEN 'newer' ELSE 'tampered' END AS reason,
+       count(*) AS n,
+       CAST(sum(CASE WHEN "offset" % 50 <> 3 THEN "offset" END) AS BIGINT) AS offsets
+FROM log WHERE "offset" % 50 = 3 OR "offset" % 60 = 7 OR byte_size < 500 GROUP BY 1""",
     ),
     "record_validate": """
 SELECT event_id + 1 AS "offset", CASE event_type WHEN 'view' THEN 'operation' ELSE '' END AS violations

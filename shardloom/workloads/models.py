@@ -23,9 +23,13 @@ GATE = {"accuracy": 0.1, "neg_loss": -2.3}
 
 
 def _logits(spark: SparkSession, folder: str) -> DataFrame:
-    """The first ten numbers of a vector are class scores for its label."""
+    """A class's score is the sum of every tenth number of the vector, beginning at the class's own."""
     vectors = t.table(spark, folder, "embeddings")
-    return vectors.select("vec_id", F.slice("embedding", 1, CLASSES).alias("logits"), "label")
+
+    def score(k):
+        return total(F.filter("embedding", lambda _, i: i % CLASSES == k))
+
+    return vectors.select("vec_id", F.array(*[score(k) for k in range(CLASSES)]).alias("logits"), "label")
 
 
 def _names(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,10 +75,10 @@ def evaluate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def batch_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _logits(spark, folder)
-    placed = sp.make_batches(rows, ["vec_id"], batch_size=BATCH)
-    result = sc.batch_metrics(rows.join(placed, "vec_id"), "batch_id", "logits", "label")
-    return result.withColumns(t.rounded("loss", "accuracy"))
+    # Two numbers a row go on; the vectors stay where they are.
+    outcome = sc.with_outcome(_logits(spark, folder), "logits", "label").select("vec_id", "loss", "correct")
+    placed = sp.make_batches(outcome, ["vec_id"], batch_size=BATCH, carry=["loss", "correct"])
+    return sc.batch_averages(placed, "batch_id").withColumns(t.rounded("loss", "accuracy"))
 
 
 def promotion_gate(spark: SparkSession, folder: str) -> DataFrame:
@@ -224,7 +228,8 @@ QUERIES = {
 
 _LOGITS_SQL = """
 logits AS (
-  SELECT vec_id, list_transform(embedding[1:10], lambda x: CAST(x AS DOUBLE)) AS logits, label
+  SELECT vec_id, list_transform(range(1, 11), lambda k: list_sum(list_transform(
+           embedding[k:64:10], lambda x: CAST(x AS DOUBLE)))) AS logits, label
   FROM embeddings
 ),
 outcome AS (
@@ -300,7 +305,7 @@ scored AS (
     "evaluate": t.with_ctes(
         _LOGITS_SQL,
         body="""
-SELECT count(*) AS n, round(avg(loss), 6) AS val_loss, round(avg(correct), 6) AS val_accuracy
+SELECT count(*) AS n, count(*) FILTER (loss IS NULL) AS n_unscored, round(avg(loss), 6) AS val_loss, round(avg(correct), 6) AS val_accuracy
 FROM outcome""",
     ),
     "batch_metrics": t.with_ctes(

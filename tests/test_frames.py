@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardloom.errors import IngestionError, MissingModalityError, SchemaVersionError, ShardNotFoundError
+from shardloom.errors import GuardFault, PairFault, VersionFault, ScanFault
 from shardloom.functions.checks import frame_rules
 from shardloom.operators import guard as g
 from shardloom.operators import pairing as p
@@ -144,7 +144,7 @@ def test_pairing_and_missing(spark):
     assert missing == {
         ("3", "iris", "root/iris/3"), ("4", "fingerprint", "root/fingerprint/4"), ("5", "iris", "root/iris/5"),
     }
-    with pytest.raises(MissingModalityError) as caught:
+    with pytest.raises(PairFault) as caught:
         p.missing_modality(iris, prints, strict=True)
     assert (caught.value.subject_id, caught.value.modality) == ("3", "iris")
 
@@ -160,12 +160,12 @@ def test_pairing_with_a_hot_subject(spark):
 def test_missing_roots_and_shards(spark):
     media = spark.createDataFrame([("iris",), ("iris",)], "modality string")
     assert [r[0] for r in p.missing_roots(media).collect()] == ["fingerprint"]
-    with pytest.raises(ShardNotFoundError):
+    with pytest.raises(ScanFault):
         p.missing_roots(media, strict=True)
     wanted = spark.createDataFrame([("a",), ("x",), ("x",)], "shard_id string")
     have = spark.createDataFrame([("a",)], "shard_id string")
     assert [r[0] for r in p.shards_not_found(wanted, have).collect()] == ["x"]
-    with pytest.raises(ShardNotFoundError) as caught:
+    with pytest.raises(ScanFault) as caught:
         p.shards_not_found(wanted, have, "here", strict=True)
     assert caught.value.shard_id == "x"
 
@@ -176,14 +176,14 @@ def test_missing_roots_and_shards(spark):
 def test_guard_checks_in_order(spark):
     good = frames(spark)
     assert g.guard(good) is good
-    with pytest.raises(IngestionError, match="label: missing"):
+    with pytest.raises(GuardFault, match="label: missing"):
         g.guard(good.drop("label").withColumn("schema_version", F.lit(9)))
-    with pytest.raises(IngestionError, match="label: string, not bigint"):
+    with pytest.raises(GuardFault, match="label: string, not bigint"):
         g.guard(good.withColumn("label", F.col("label").cast("string")))
-    with pytest.raises(SchemaVersionError) as caught:
+    with pytest.raises(VersionFault) as caught:
         g.guard(good.withColumn("schema_version", F.lit(2)).withColumn("iris_bytes", F.lit(None).cast("binary")))
     assert caught.value.found == 2
-    with pytest.raises(IngestionError, match="12 null.s. in iris_bytes"):
+    with pytest.raises(GuardFault, match="12 null.s. in iris_bytes"):
         g.guard(good.withColumn("iris_bytes", F.lit(None).cast("binary")))
     empty = good.withColumn("iris_bytes", F.lit(b""))
     assert g.guard(empty) is empty
@@ -200,7 +200,7 @@ def test_upcast_one_version_at_a_time(spark):
     rows = {r.x: (r.schema_version, r.added) for r in g.upcast(df, steps).collect()}
     assert rows == {"a12": (3, True), "b2": (3, None), "c": (3, None), "d12": (3, True)}
     assert g.upcast(df, {}).filter("schema_version is null").count() == 0
-    with pytest.raises(SchemaVersionError):
+    with pytest.raises(VersionFault):
         g.too_new(df, 2, strict=True)
     assert g.too_new(df, 2).count() == 1
 
@@ -228,7 +228,7 @@ def test_shards_are_written_listed_and_scanned(spark, tmp_path):
     assert part.schema.fieldNames() == FRAME.fieldNames()
     assert part.count() == 15 and {r.label % 2 for r in part.collect()} == {1}
     assert "dynamicpruning" in part._jdf.queryExecution().executedPlan().toString()
-    with pytest.raises(ShardNotFoundError):
+    with pytest.raises(ScanFault):
         shards.scan(spark, root, spark.createDataFrame([("nope",)], "shard_id string"), strict=True)
     # Present shards are kept, absent ones are added.
     more = frames(spark, 3, 1, lambda i: f"shard_{i}")
@@ -248,7 +248,7 @@ def test_flat_shard_files(spark, tmp_path):
     assert [r[0] for r in shards.list_shards(spark, root).collect()] == ["a", "b"]
     assert shards.scan_files(spark, root, ["a", "b"]).count() == 8
     assert shards.scan_files(spark, root, []).schema == FRAME
-    with pytest.raises(ShardNotFoundError):
+    with pytest.raises(ScanFault):
         shards.scan_files(spark, root, ["a", "nonexistent_shard"])
 
 
@@ -273,7 +273,7 @@ def test_ingest_run(spark):
     counts = {r.split: r.n_rows for r in s.split_counts(run.frames).collect()}
     assert counts == {"test": 5, "val": 15, "train": 80}
     assert [(r.shard_id, r.operation) for r in run.commit.collect()] == [("shard_0", "COMMIT")]
-    with pytest.raises(IngestionError):
+    with pytest.raises(GuardFault):
         ingest(log, df.withColumn("iris_bytes", F.lit(None).cast("binary")))
 
 

@@ -62,7 +62,7 @@ def test_train_register_and_serve(spark, tmp_path):
 def test_frames_from_a_media_directory(spark, tmp_path):
     import pytest
 
-    from shardloom.errors import ShardNotFoundError
+    from shardloom.errors import ScanFault
     from shardloom.operators import media
     from shardloom.plans.directory import frames_from_media, list_subjects
     from shardloom.sources.media import scan_media, write_media
@@ -87,8 +87,8 @@ def test_frames_from_a_media_directory(spark, tmp_path):
     assert bytes(rows[0].iris_bytes) == picture
     only = frames_from_media(found, spark.createDataFrame([("s2",)], "shard_id string"))
     assert [(r.subject_id, r.label) for r in only.collect()] == [("s2", 1)]
-    with pytest.raises(ShardNotFoundError):
+    with pytest.raises(ScanFault):
         frames_from_media(found, spark.createDataFrame([("s0",)], "shard_id string"))
-    with pytest.raises(ShardNotFoundError):
+    with pytest.raises(ScanFault):
         frames_from_media(found.filter("modality = 'iris'"))
     assert media.decoded(media.decode_frames(frames)).count() == 0  # the fingerprints are no images

@@ -6,6 +6,7 @@ import compare
 import pytest
 
 import __spark_entry__ as contract
+from shardloom.workloads import QUERIES, SQL
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 WITHOUT_SQL = {"fit_classifier"}
@@ -19,11 +20,12 @@ def duck():
 
 
 def test_only_the_known_queries_lack_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == WITHOUT_SQL
-    assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(QUERIES) - set(SQL) == WITHOUT_SQL
+    assert set(SQL) <= set(QUERIES) <= set(contract.queries())
+    assert set(SQL) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - WITHOUT_SQL))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WITHOUT_SQL))
 def test_equals_duckdb(spark, duck, name):
     df = contract.queries()[name](spark, FOLDER)
     sql = contract.oracle_sql()[name]

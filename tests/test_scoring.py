@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shardloom.errors import ModelRegistryError
+from shardloom.errors import RegistryFault
 from shardloom.functions import checks as c
 from shardloom.functions import hashing as h
 from shardloom.operators import fusion as fu
@@ -126,7 +126,7 @@ def test_versions_continue_and_compare_as_numbers(spark):
     table = first.unionByName(more).withColumn("version", F.col("version").cast("string"))
     assert r.latest_uri(table, "m") == "models:/m/12"
     assert [x.version for x in r.list_versions(table, "m").collect()] == [str(i) for i in range(12, 0, -1)]
-    with pytest.raises(ModelRegistryError):
+    with pytest.raises(RegistryFault):
         r.latest_uri(table, "unknown")
 
 
