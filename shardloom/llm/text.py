@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE_BYTES = 1 << 20
+HASH_BYTES = 1 << 17
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -79,12 +80,19 @@ class Words:
 
     def hashes(self, which: int = 0) -> np.ndarray:
         """A 64-bit hash of each word; two independent ones by ``which``."""
-        powers = power_table(len(self.data) + 1, which)
-        terms = _SPREAD[which][self.data] * powers[:-1]
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
-        # Shift every word to the same power, so that its place in the buffer doesn't matter.
-        lifted = (sums[self.end] - sums[self.start]) * inverse_table(len(self.data) + 1, which)[self.start]
-        return mix(lifted + (self.end - self.start).astype(np.uint64))
+        out = np.empty(len(self.start), np.uint64)
+        i = 0
+        while i < len(out):  # a stretch of the buffer at a time, which stays in the cache
+            base = self.start[i]
+            j = max(int(np.searchsorted(self.end, base + HASH_BYTES, "right")), i + 1)
+            part = self.data[base : self.end[j - 1]]
+            terms = _SPREAD[which][part] * power_table(len(part), which)
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
+            start, end = self.start[i:j] - base, self.end[i:j] - base
+            # Shift every word to the same power, so that its place in the buffer doesn't matter.
+            out[i:j] = (sums[end] - sums[start]) * inverse_table(len(part) + 1, which)[start]
+            i = j
+        return mix(out + (self.end - self.start).astype(np.uint64))
 
 
 _POWERS: dict[tuple[int, bool], np.ndarray] = {}
