@@ -157,8 +157,9 @@ def scan(
     units = lines.filter(space.reachable(F.lower("_unit")))
     units = units.select("p", "h1", "h2", "named", F.col("line").cast("long"), "_unit")
     wholes = could.filter("named").select("p", "h1", "h2", "named", F.lit(-1).cast("long").alias("line"), F.col("t").alias("_unit"))
-    # Equal files have equal lines, and a line counts once a file.
-    units = units.union(wholes).distinct()
+    # Equal files have equal lines, and a line counts once a file. All that follows for a line groups by
+    # these keys and more, so this is the only time that lines are shuffled, and their terms never are.
+    units = units.union(wholes).groupBy("h1", "h2", "p", "named", "line").agg(F.min("_unit").alias("_unit"))
     found = _closest(units, space, ["h1", "h2", "p", "named", "line"])
     order = F.struct(-F.col("cosine"), F.col("licence"), F.col("line"))
     own = stored(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shardloom.llm import decontaminate, licenses, lm_scoring, mixing, quality_model, quality_rules, sharding, simhash, substrings, tokens
 
 from shardloom.llm.frames import stored
+from shardloom.llm.sql import SQL  # noqa: F401  registered with the queries
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -102,4 +103,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_mixing": op10_mixing,
 }
-SQL: dict[str, str] = {}

@@ -94,7 +94,7 @@ def test_awkward_texts_and_nothing_to_learn_from(spark):
     check_base(rows, [r.asDict() for r in docs.collect()], [r["held_out"] for r in docs.collect()])
     assert len({round(r["score"], 9) for r in rows if not split(r["text"])}) == 1
     nothing = lm_scoring.score(docs, F.lit(False)).collect()
-    assert all(math.isfinite(r["score"]) and r["n_known"] == 0 and r["base_score"] == 0 for r in nothing)
+    assert all(math.isfinite(r["score"]) and r["n_known"] == 0 and abs(r["base_score"]) < 1e-9 for r in nothing)
     assert lm_scoring.score(docs.limit(0), F.lit(True)).count() == 0
 
 
@@ -120,4 +120,4 @@ def test_chances_of_a_bit_add_up_and_spelling_is_learned():
             p = learner.model.refined(node, learner.model.mixed(slots)[2])[0]
             chance *= p if bit[0] else 1 - p
         total += chance
-    assert abs(total - 1) < 1e-6
+    assert abs(total - 1) < 1e-5  # probabilities are 32-bit floats
