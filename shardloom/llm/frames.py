@@ -145,7 +145,7 @@ def by_bucket(
     through: Sequence[str] = (),
 ) -> DataFrame:
     """Hand all payloads of a bucket to ``work`` at once. Rows without a payload pass by, with their
-    ``through`` columns. Choose the number of buckets by the size of the input, so that each fits a task."""
+    ``through`` columns; give them buckets of their own, spread evenly. Choose the number of buckets by the size of the input, so that each fits a task."""
     names = list(through)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
