@@ -195,7 +195,8 @@ def _scorer(shared, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
         for batch in batches:
-            scores = net.scores(matrix(batch.column("_vector"))) if batch.num_rows else np.zeros(0)
+            # Rounded: the last digits of a product of matrices depend on how many rows go in together.
+            scores = np.round(net.scores(matrix(batch.column("_vector"))), 12) if batch.num_rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in names], pa.array(scores, pa.float64())], [*names, "score"]
             )
