@@ -44,6 +44,17 @@ def list_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shards.list_shards(spark, _stored(spark, folder))
 
 
+def keys_prefix(spark: SparkSession, folder: str) -> DataFrame:
+    """Shards in storage whose id begins with a 1."""
+    return shards.keys_with_prefix(list_shards(spark, folder), "1")
+
+
+def keys_exist(spark: SparkSession, folder: str) -> DataFrame:
+    """Which of the nations' numbers are shards in storage."""
+    wanted = t.table(spark, folder, "nation").select(F.col("n_nationkey").cast("string").alias("shard_id"))
+    return shards.existing(wanted, list_shards(spark, folder))
+
+
 def columnar_write(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per shard after a write and a read back."""
     written = spark.read.schema(FRAME).parquet(_stored(spark, folder))
@@ -233,7 +244,7 @@ def missing_roots(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     fn.__name__: fn
     for fn in (
-        shard_scan, list_shards, columnar_write, empty_plan_scan, union_shards, split_filter,
+        shard_scan, list_shards, keys_prefix, keys_exist, columnar_write, empty_plan_scan, union_shards, split_filter,
         frame_build, derived_keys, content_hash, shards_to_write, assign_shards, split_stratified,
         split_per_shard, split_counts, label_encode, num_classes, sharded_sample,
         sharded_sample_drop_last, make_batches, incremental_scan, incremental_split_counts,
@@ -281,6 +292,16 @@ FROM frames WHERE source_shard IN {_PLANNED}""",
     "list_shards": t.with_ctes(
         t.SAMPLES_SQL, body=" SELECT DISTINCT source_shard AS shard_id FROM samples ORDER BY 1"
     ),
+    "keys_prefix": t.with_ctes(
+        t.SAMPLES_SQL,
+        body=" SELECT DISTINCT source_shard AS shard_id FROM samples WHERE starts_with(source_shard, '1')",
+    ),
+    "keys_exist": t.with_ctes(
+        t.SAMPLES_SQL,
+        body="""
+SELECT CAST(n_nationkey AS VARCHAR) AS shard_id FROM nation
+WHERE CAST(n_nationkey AS VARCHAR) IN (SELECT source_shard FROM samples)""",
+    ),
     "columnar_write": t.with_ctes(
         t.SAMPLES_SQL, body=" SELECT source_shard, count(*) AS n_rows FROM samples GROUP BY source_shard"
     ),
