@@ -6,8 +6,10 @@
    less than what the window does, so a window estimated at one is alone.
 2. Only windows estimated at two or more go on. Tasks first settle what repeats among their own, so a
    passage that fills a third of the table sends one row a task; the rest is grouped exactly, by 96-bit
-   digests, in buckets whose number grows with the input.
-3. The places found come back as ranges of each text, and the words they cover are removed.
+   digests, in buckets whose number grows with the input. A window's bucket is that of its own digest:
+   windows that only share an anchor, as all those over one frequent short passage do, spread evenly.
+3. The places found come back as ranges of each text, neighbours are merged, and the words they cover
+   are removed.
 
 The sketch is as wide as the input asks for, up to ``MOST_CELLS``; beyond that more windows pass it, and
 the result is the same. Null and empty texts have no words. Texts with fewer than 35 words are kept whole.
@@ -133,7 +135,6 @@ def repeated_cells(texts: DataFrame, width: int, window: int = WINDOW, anchor: i
 # --- exact groups ----------------------------------------------------------------------------------------
 
 _WINDOWS = np.dtype([("a", "<u8"), ("b", "<u4"), ("text", "<u4"), ("at", "<u4")])
-_BUCKETED = np.dtype([*_WINDOWS.descr, ("bucket", "<u8")])
 
 
 def _ranges(at: np.ndarray) -> np.ndarray:
@@ -187,12 +188,9 @@ def _candidates(bits, width: int, buckets: int, window: int, anchor: int):
         found["text"][sizes > 1] = SETTLED
         lead = np.concatenate([[True], (found["a"][1:] != found["a"][:-1]) | (found["b"][1:] != found["b"][:-1])])
         found = found[lead]
-        bucket = (found["bucket"] % np.uint64(buckets)).astype(np.int64)
+        bucket = (found["a"] % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        bucket, plain = bucket[order], np.empty(len(found), _WINDOWS)
-        for name in _WINDOWS.names:
-            plain[name] = found[name][order]
-        found = plain
+        bucket, found = bucket[order], found[order]
         edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
         payloads = []
         for s, e in zip(edge, np.append(edge[1:], len(found))):
@@ -215,10 +213,9 @@ def _candidates(bits, width: int, buckets: int, window: int, anchor: int):
                 hit = np.ones(len(first), bool)
                 for k, cells in enumerate(_cells(anchors, width)):
                     hit &= repeated[k][cells >> 3] >> (cells & 7).astype(np.uint8) & 1 > 0
-                first, anchors = first[hit], anchors[hit]
+                first = first[hit]
                 if len(first):
-                    part = np.empty(len(first), _BUCKETED)
-                    part["bucket"] = anchors  # neighbours share it, so a text's ranges stay together
+                    part = np.empty(len(first), _WINDOWS)
                     part["a"] = rolling(found.hashes(0), window, 0)[first]
                     part["b"] = rolling(found.hashes(1), window, 1)[first] >> np.uint64(32)
                     row = found.row[first]

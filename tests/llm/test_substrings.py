@@ -69,3 +69,29 @@ def test_equal_windows_have_equal_anchors():
     first, anchors, _ = substrings.anchored(found)
     at = {int(f): int(a) for f, a in zip(first, anchors)}
     assert at[11] == at[int(found.first[1])]
+
+
+def test_a_short_passage_in_all_texts_fills_no_bucket():
+    """Windows over it share their anchors and are distinct: they spread over all buckets."""
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pyarrow as pa
+
+    from shardloom.llm.frames import unsqueeze
+
+    n, buckets, width = 600, 64, 1 << 16
+    passage = sentence(1, 30)
+    texts = [f"{sentence(2 * k + 10, 24)} {passage} {sentence(2 * k + 11, 24)}" for k in range(n)]
+    keys = pa.array(range(n), pa.int64())
+    batch = pa.RecordBatch.from_arrays([keys, keys, pa.array(texts)], ["k1", "k2", "_text"])
+    bits = SimpleNamespace(value=np.full((substrings.ROWS, width // 8), 255, np.uint8))
+    sizes = collections.Counter()
+    for part in substrings._candidates(bits, width, buckets, substrings.WINDOW, substrings.ANCHOR)(iter([batch])):
+        for bucket, k1, payload in zip(*(part.column(c).to_pylist() for c in ("bucket", "k1", "payload"))):
+            if k1 is None:
+                data = unsqueeze(payload, np.uint8)
+                texts_in = int(data[:8].view("<i8")[0])
+                sizes[bucket] += (len(data) - 8 - 16 * texts_in) // substrings._WINDOWS.itemsize
+    assert sum(sizes.values()) == n * (78 - 35 + 1)
+    assert max(sizes.values()) < 1.5 * sum(sizes.values()) / buckets
