@@ -9,6 +9,7 @@ from fixtures import LOWER, awkward, frame, split
 from pyspark.sql import functions as F
 
 from shardloom.llm import context_mixing, lm_scoring, quality_model
+from shardloom.llm.frames import unsqueeze
 from shardloom.llm.queries import QUERIES
 from shardloom.llm.text import words
 
@@ -127,3 +128,22 @@ def test_chances_of_a_bit_add_up_and_spelling_is_learned():
             chance *= p if bit[0] else 1 - p
         total += chance
     assert abs(total - 1) < 1e-5  # probabilities are 32-bit floats
+
+
+def test_little_text_corrects_every_bit_and_untaught_weights_do_not_count():
+    learner = context_mixing.Learner()
+    learner.add(context_mixing.Units(words(pa.array(["the cat sat on the mat with a hat and a bat in a vat " * 30]))))
+    cases = learner.model.cases.reshape(256, -1).sum(axis=1)
+    of_bit = [cases[1 << j : 2 << j].sum() for j in range(8)]
+    assert of_bit[0] > 0 and max(of_bit) == min(of_bit)
+    idle = context_mixing.Learner()
+    idle.add(context_mixing.Units(words(pa.array(["x"]))))
+    built, summed = context_mixing.Assembly(), {}
+    for one in (learner, idle):
+        for batch in one.blocks():
+            for block, payload in zip(*(c.to_pylist() for c in batch.columns)):
+                summed[block] = summed.get(block, 0) + unsqueeze(payload, "float64")
+    for block, cells in summed.items():
+        built.add(block, cells)
+    assert np.allclose(built.done().weights, learner.model.weights, atol=1e-6)
+    assert not np.allclose(learner.model.weights, 0.3)
