@@ -147,3 +147,13 @@ def test_little_text_corrects_every_bit_and_untaught_weights_do_not_count():
         built.add(block, cells)
     assert np.allclose(built.done().weights, learner.model.weights, atol=1e-6)
     assert not np.allclose(learner.model.weights, 0.3)
+
+
+def test_every_byte_of_a_long_new_token_counts(spark):
+    made = np.random.default_rng(3)
+    texts = ["".join(made.choice(list("abcdefghijklmnop"), n)) for n in (2_000, 20_000, 200_000)]
+    docs = frame(spark, [(k, t, "en", "s", len(t)) for k, t in enumerate(["some words to learn from " * 50, *texts])])
+    rows = {r["doc_id"]: r for r in lm_scoring.score(docs, F.col("doc_id") == 0).collect()}
+    for k in (2, 3):
+        assert 8 < rows[k]["score"] / rows[k - 1]["score"] < 12
+        assert abs(rows[k]["bits_per_byte"] / rows[1]["bits_per_byte"] - 1) < 0.1
