@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.llm import decontaminate, licenses, lm_scoring, mixing, quality_model, quality_rules, sharding, simhash, substrings, tokens
+from shardloom.llm import decontaminate, licenses, lm_scoring, merkle, mixing, quality_model, quality_rules, sharding, simhash, substrings, tokens
 
 from shardloom.llm.frames import stored
 from shardloom.llm.sql import SQL  # noqa: F401  registered with the queries
@@ -91,6 +91,16 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder)
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 0
+    lowered = F.when(tampered, F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    built = merkle.build(docs, altered={"text": lowered.otherwise(F.col("text"))}, keep=["doc_id"])
+    return built.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_lm_scoring": op2_lm_scoring,
@@ -102,4 +112,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_mixing": op10_mixing,
+    "op13_merkle": op13_merkle,
 }

@@ -75,4 +75,86 @@ SELECT doc_id, folder || '/' || CASE WHEN named THEN 'LICENSE' ELSE CAST(doc_id
 FROM files LEFT JOIN own USING (doc_id) LEFT JOIN holders USING (folder)"""
 
 
-SQL = {"op5_licenses": licences(), "op9_substring_dedup": SUBSTRINGS}
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR) END"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(v) for v in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree(name: str, nodes: str) -> str:
+    """Levels of the trees over ``nodes`` (k, g, idx, h) per g, and every node's siblings (k, ord, lft, rgt)."""
+    return f"""
+{name}_height AS (
+  SELECT g, sum(CASE WHEN pow(8, e) < n THEN 1 ELSE 0 END) AS height
+  FROM (SELECT g, count(*) AS n FROM {nodes} GROUP BY g), range(0, 21) t(e) GROUP BY g
+),
+{name}_levels(g, depth, idx, h, height) AS (
+  SELECT g, 0, idx, h, height FROM {nodes} JOIN {name}_height USING (g)
+  UNION ALL
+  SELECT g, depth + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), height
+  FROM {name}_levels WHERE depth < height GROUP BY g, depth, idx // 8, height
+),
+{name}_top AS (SELECT g, h AS top FROM {name}_levels WHERE depth = height),
+{name}_sibs AS (
+  SELECT n.k, s.depth AS ord,
+         coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (WHERE s.idx < n.idx // CAST(pow(8, s.depth) AS BIGINT)), '') AS lft,
+         coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (WHERE s.idx > n.idx // CAST(pow(8, s.depth) AS BIGINT)), '') AS rgt
+  FROM {nodes} n JOIN {name}_levels s
+    ON s.g = n.g AND s.depth < s.height AND s.idx // 8 = n.idx // CAST(pow(8, s.depth) AS BIGINT) // 8
+  GROUP BY n.k, s.depth
+)"""
+
+
+MERKLE = f"""
+WITH RECURSIVE
+crc_table(i, step, c) AS (
+  SELECT i, 0, i FROM range(256) t(i)
+  UNION ALL
+  SELECT i, step + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_table WHERE step < 8
+),
+ids AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS s FROM documents WHERE doc_id IS NOT NULL),
+crc(s, pos, c) AS (
+  SELECT s, 0, CAST(4294967295 AS BIGINT) FROM ids
+  UNION ALL
+  SELECT crc.s, pos + 1, xor(t.c, crc.c >> 8)
+  FROM crc JOIN crc_table t ON t.step = 8 AND t.i = xor(crc.c, ascii(substr(crc.s, pos + 1, 1))) & 255
+  WHERE pos < strlen(crc.s)
+),
+tampered AS (SELECT s FROM crc WHERE pos = strlen(s) AND xor(c, 4294967295) % 3 = 0),
+rows AS (
+  SELECT row_number() OVER () AS k, d.*, CASE WHEN t.s IS NOT NULL THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS alt_text
+  FROM documents d LEFT JOIN tampered t ON t.s = CAST(d.doc_id AS VARCHAR)
+),
+leaves AS (
+  SELECT k, doc_id, CASE WHEN lang IS NULL THEN '' ELSE '+' || lang END AS g, {_leaf("text")} AS h, {_leaf("alt_text")} AS alt FROM rows
+),
+leaf_nodes AS (
+  SELECT k, g, h, row_number() OVER (PARTITION BY g ORDER BY doc_id ASC NULLS FIRST, h, alt) - 1 AS idx FROM leaves
+),
+{_tree("inner", "leaf_nodes")},
+group_nodes AS (
+  SELECT g AS k, '' AS g, top AS h, row_number() OVER (ORDER BY CAST(g AS BLOB)) - 1 AS idx FROM inner_top
+),
+{_tree("outer", "group_nodes")},
+segments AS (
+  SELECT k, ord, lft, rgt FROM inner_sibs
+  UNION ALL
+  SELECT l.k, 100 + o.ord, o.lft, o.rgt FROM leaves l JOIN outer_sibs o ON o.k = l.g
+),
+ranked AS (SELECT k, row_number() OVER (PARTITION BY k ORDER BY ord) AS r, lft, rgt FROM segments),
+fold(k, r, cur) AS (
+  SELECT k, 0, alt FROM leaves
+  UNION ALL
+  SELECT f.k, f.r + 1, sha256(s.lft || f.cur || s.rgt) FROM fold f JOIN ranked s ON s.k = f.k AND s.r = f.r + 1
+),
+folded AS (SELECT k, arg_max(cur, r) AS folded_root FROM fold GROUP BY k),
+proofs AS (SELECT k, string_agg(lft || rgt, '' ORDER BY r) AS proof FROM ranked GROUP BY k)
+SELECT l.doc_id, l.h AS leaf, i.top AS subroot, (SELECT top FROM outer_top) AS root,
+       sha256(coalesce(p.proof, '')) AS proof_sha256, f.folded_root,
+       f.folded_root = (SELECT top FROM outer_top) AS verified
+FROM leaves l JOIN inner_top i USING (g) JOIN folded f USING (k) LEFT JOIN proofs p USING (k)"""
+
+
+SQL = {"op5_licenses": licences(), "op9_substring_dedup": SUBSTRINGS, "op13_merkle": MERKLE}
