@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.llm import decontaminate, licenses, lm_scoring, merkle, mixing, quality_model, quality_rules, sharding, simhash, substrings, tokens
+from shardloom.llm import decontaminate, licenses, lm_scoring, merkle, metric_join, mixing, quality_model, quality_rules, sharding, simhash, substrings, tokens
 
 from shardloom.llm.frames import stored
 from shardloom.llm.sql import SQL  # noqa: F401  registered with the queries
@@ -91,6 +91,11 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op11_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    linked = metric_join.links(_table(spark, folder, "embeddings"), keep=["vec_id"])
+    return linked.select("vec_id", "n_links", "component_id", "kept")
+
+
 def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
     docs = _documents(spark, folder)
     tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 0
@@ -112,5 +117,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_mixing": op10_mixing,
+    "op11_embedding_dedup": op11_embedding_dedup,
     "op13_merkle": op13_merkle,
 }

@@ -157,4 +157,36 @@ SELECT l.doc_id, l.h AS leaf, i.top AS subroot, (SELECT top FROM outer_top) AS r
 FROM leaves l JOIN inner_top i USING (g) JOIN folded f USING (k) LEFT JOIN proofs p USING (k)"""
 
 
-SQL = {"op5_licenses": licences(), "op9_substring_dedup": SUBSTRINGS, "op13_merkle": MERKLE}
+EMBEDDINGS = """
+WITH RECURSIVE
+rows AS (SELECT row_number() OVER () AS k, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (
+  SELECT k, vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM rows
+  WHERE e IS NOT NULL AND len(e) > 0 AND list_count(e) = len(e)
+    AND NOT list_bool_or(list_transform(e, lambda x: isnan(x) OR isinf(x)))
+    AND list_sum(list_transform(e, lambda x: x * x)) > 0
+),
+links AS (
+  SELECT a.k AS a, b.k AS b FROM ok a JOIN ok b ON a.k < b.k AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.95
+),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(k, r) AS (
+  SELECT k, k FROM ok
+  UNION
+  SELECT reach.k, w.b FROM reach JOIN both_ways w ON w.a = reach.r
+),
+least AS (SELECT reach.k, min(rows.vec_id) AS component_id FROM reach JOIN rows ON rows.k = reach.r GROUP BY reach.k),
+counted AS (SELECT a AS k, count(*) AS n FROM both_ways GROUP BY a)
+SELECT rows.vec_id, CAST(coalesce(counted.n, 0) AS BIGINT) AS n_links,
+       CASE WHEN ok.k IS NULL THEN rows.vec_id ELSE least.component_id END AS component_id,
+       rows.vec_id IS NOT DISTINCT FROM (CASE WHEN ok.k IS NULL THEN rows.vec_id ELSE least.component_id END) AS kept
+FROM rows LEFT JOIN ok USING (k) LEFT JOIN least USING (k) LEFT JOIN counted USING (k)"""
+
+
+SQL = {
+    "op5_licenses": licences(),
+    "op9_substring_dedup": SUBSTRINGS,
+    "op11_embedding_dedup": EMBEDDINGS,
+    "op13_merkle": MERKLE,
+}
