@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.llm import decontaminate, licenses, lm_scoring, merkle, metric_join, mixing, quality_model, quality_rules, sharding, simhash, substrings, tokens
+from shardloom.llm import alignment, decontaminate, licenses, lm_scoring, merkle, metric_join, mixing, quality_model, quality_rules, sharding, simhash, substrings, tokens
 
 from shardloom.llm.frames import stored
 from shardloom.llm.sql import SQL  # noqa: F401  registered with the queries
@@ -96,6 +96,15 @@ def op11_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return linked.select("vec_id", "n_links", "component_id", "kept")
 
 
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    a_path, b_path = (str(public_tokenizers.path(f)) for f in (alignment.A_FILE, alignment.B_FILE))
+    aligned = alignment.align(_documents(spark, folder), a_path, b_path, keep=["doc_id"])
+    return aligned.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256",
+    )
+
+
 def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
     docs = _documents(spark, folder)
     tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 0
@@ -118,5 +127,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_mixing": op10_mixing,
     "op11_embedding_dedup": op11_embedding_dedup,
+    "op12_token_alignment": op12_token_alignment,
     "op13_merkle": op13_merkle,
 }
