@@ -16,6 +16,7 @@ from shardloom.plans.incremental import planned_split_counts
 from shardloom.schemas import FRAME
 from shardloom.session import new_folder
 from shardloom.sources import shards
+from shardloom.sources.footers import footers
 from shardloom.workloads import tables as t
 
 WORLD, SEED, EPOCH = 7, 42, 3
@@ -215,6 +216,25 @@ def schema_guard(spark: SparkSession, folder: str) -> DataFrame:
     return g.table_checks(t.frames(spark, folder))
 
 
+def planted_shards(spark: SparkSession, folder: str) -> str:
+    """All frames written as shards; the first shard's files lack ``fingerprint_bytes`` and the last
+    shard's hold ``label`` as text, as an older and a wrong writer would leave them."""
+    frames = shards.build_frames(t.frames(spark, folder))
+    first, last = frames.agg(F.min("source_shard"), F.max("source_shard")).first()
+    root = new_folder(spark, "shards")
+    shard = F.col("source_shard")
+    shards.write_shards(frames.filter((shard != first) & (shard != last)), root)
+    shards.write_shards(frames.filter(shard == first).drop("fingerprint_bytes"), root)
+    shards.write_shards(frames.filter(shard == last).withColumn("label", F.col("label").cast("string")), root)
+    return root
+
+
+def schema_differences(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns that written shards' own files lack or hold with another type, read from their footers."""
+    found = g.file_differences(footers(spark, planted_shards(spark, folder)))
+    return found.select("shard_id", "column", "problem").distinct()
+
+
 def pair_modalities(spark: SparkSession, folder: str) -> DataFrame:
     pairs = p.pair(t.iris_listing(spark, folder), t.fingerprint_listing(spark, folder))
     return pairs.select(
@@ -244,7 +264,7 @@ def missing_roots(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     fn.__name__: fn
     for fn in (
-        shard_scan, list_shards, keys_prefix, keys_exist, columnar_write, empty_plan_scan, union_shards, split_filter,
+        shard_scan, list_shards, keys_prefix, keys_exist, columnar_write, empty_plan_scan, union_shards, split_filter, schema_differences,
         frame_build, derived_keys, content_hash, shards_to_write, assign_shards, split_stratified,
         split_per_shard, split_counts, label_encode, num_classes, sharded_sample,
         sharded_sample_drop_last, make_batches, incremental_scan, incremental_split_counts,
@@ -435,6 +455,13 @@ checks AS (
 )""",
         body=" SELECT check_name, found, found <= lim AS passed FROM checks",
     ),
+    "schema_differences": t.with_ctes(
+        t.SAMPLES_SQL,
+        body="""
+SELECT min(source_shard) AS shard_id, 'fingerprint_bytes' AS "column", 'missing' AS problem FROM samples
+UNION ALL
+SELECT max(source_shard), 'label', 'string, not bigint' FROM samples""",
+    ),
     "pair_modalities": t.with_ctes(
         t.LISTINGS_SQL,
         """
