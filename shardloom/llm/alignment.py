@@ -46,7 +46,8 @@ B_FILE = "piece_bpe_32k.model"
 MARK = "▁"  # sentencepiece's sign for a space
 CHUNK_BITS = 16  # documents of a chunk: 2^16
 _B_BITS = 15  # B ids below 2^15 in a pair key
-BATCH_TEXT = 8 << 20
+BATCH_TEXT = 1 << 20  # characters encoded at once; the libraries hold several bytes of state per character
+FLUSH = 1 << 21  # (document, pair) entries a task holds before it writes their containers
 
 RESULTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "groups")
 
@@ -82,34 +83,56 @@ def tokenizers(a_path: str, b_path: str):
             b_bytes.append(bytes([int(piece[3:5], 16)]))
         else:
             b_bytes.append(piece.replace(MARK, " ").encode())
-    a_len = np.array([len(x) for x in a_bytes], np.int64)
-    b_len = np.array([len(x) for x in b_bytes], np.int64)
     numbers = np.array([str(i) for i in range(max(len(a_bytes), len(b_bytes)))], dtype=object)
-    return a, b, a_bytes, b_bytes, a_len, b_len, numbers
+    return a, b, _Spelling(a_bytes), _Spelling(b_bytes), numbers
 
 
-def _spelled(ids: np.ndarray, table: list[bytes]) -> bytes:
-    return b"".join(table[i] for i in ids.tolist())
+class _Spelling:
+    """Every id's bytes in one array, so a sequence of ids is spelled by one gather."""
+
+    def __init__(self, table: list[bytes]) -> None:
+        self.lengths = np.array([len(x) for x in table], np.int64)
+        self.starts = np.r_[0, np.cumsum(self.lengths)[:-1]]
+        self.blob = np.frombuffer(b"".join(table), np.uint8)
+
+    def ends(self, ids: np.ndarray) -> np.ndarray:
+        return np.cumsum(self.lengths[ids])
+
+    def spells(self, ids: np.ndarray, ends: np.ndarray, full: np.ndarray) -> bool:
+        if not len(ids):
+            return len(full) == 0
+        if ends[-1] != len(full):
+            return False
+        lengths = self.lengths[ids]
+        shift = np.repeat(self.starts[ids] - (ends - lengths), lengths)
+        return bool(np.array_equal(self.blob[shift + np.arange(len(full))], full))
+
+
+def _distinct(ascending: np.ndarray) -> np.ndarray:
+    return ascending[np.r_[True, ascending[1:] != ascending[:-1]]] if len(ascending) else ascending
 
 
 def align_one(text: str | None, a_ids: np.ndarray, b_ids: np.ndarray, tables) -> tuple:
     """(n_a, n_b, n_groups, n_links, groups, pair keys, multiplicities) of one text."""
-    _, _, a_bytes, b_bytes, a_len, b_len, numbers = tables
+    _, _, a_spelling, b_spelling, numbers = tables
     none = (0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
     if not text:
         return none
-    full = (" " + text).encode()
-    if _spelled(a_ids, a_bytes) != full or _spelled(b_ids, b_bytes) != full:
+    full = np.frombuffer((" " + text).encode(), np.uint8)
+    a_end, b_end = a_spelling.ends(a_ids), b_spelling.ends(b_ids)
+    if not (a_spelling.spells(a_ids, a_end, full) and b_spelling.spells(b_ids, b_end, full)):
         return none
-    a_end, b_end = np.cumsum(a_len[a_ids]), np.cumsum(b_len[b_ids])
     # Every stretch between consecutive ends lies in one A token and one B token: one link each.
-    ends = np.union1d(a_end, b_end)
-    ends = ends[ends > 0]
+    # Ends ascend in each sequence; equal neighbours are tokens of no bytes.
+    merged = np.sort(np.concatenate([_distinct(a_end), _distinct(b_end)]), kind="stable")
+    twice = merged[1:] == merged[:-1]
+    cuts = merged[1:][twice]
+    ends = merged[np.r_[True, ~twice]]
     in_a, in_b = np.searchsorted(a_end, ends, "left"), np.searchsorted(b_end, ends, "left")
-    keys = (a_ids[in_a].astype(np.int64) << _B_BITS) | b_ids[in_b].astype(np.int64)
-    pairs, times = np.unique(keys, return_counts=True)
-    cuts = np.intersect1d(a_end, b_end)
-    cuts = cuts[cuts > 0]
+    keys = np.sort((a_ids[in_a].astype(np.int64) << _B_BITS) | b_ids[in_b].astype(np.int64))
+    first = np.r_[True, keys[1:] != keys[:-1]]
+    pairs = keys[first]
+    times = np.diff(np.r_[np.nonzero(first)[0], len(keys)])
     # Groups spelled in order: A ids, '|', B ids, ';' between groups.
     group = np.concatenate([np.searchsorted(cuts, a_end, "left"), np.searchsorted(cuts, b_end, "left")])
     side = np.concatenate([np.zeros(len(a_ids), np.int64), np.ones(len(b_ids), np.int64)])
@@ -180,7 +203,7 @@ def _encode(a_path: str, b_path: str, row_type: pa.DataType, spelled: bool, bits
         part = TaskContext.get().partitionId()
         seen = 0
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        at_chunk = None
+        at_chunk, entries = None, 0
 
         def flush():
             if not held:
@@ -212,13 +235,14 @@ def _encode(a_path: str, b_path: str, row_type: pa.DataType, spelled: bool, bits
                     size += len(texts[stop] or "")
                     stop += 1
                 piece = [t or "" for t in texts[start:stop]]
-                a_all = a.encode_batch([" " + t for t in piece], add_special_tokens=False)
+                a_all = a.encode_batch_fast([" " + t for t in piece], add_special_tokens=False)
                 b_all = b.encode(piece, num_threads=1)
                 out = {k: [] for k in ("_doc", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "groups")}
                 for k, text in enumerate(texts[start:stop]):
                     number = seen + k
                     chunk = (part << 20) | (number >> bits)
                     if chunk != at_chunk:
+                        entries = 0
                         done = flush()
                         if done is not None:
                             yield done
@@ -228,7 +252,14 @@ def _encode(a_path: str, b_path: str, row_type: pa.DataType, spelled: bool, bits
                     n_a, n_b, n_groups, n_links, groups, pairs, times = align_one(text, a_ids, b_ids, tables)
                     place = number & ((1 << bits) - 1)
                     if len(pairs):
-                        held.append((pairs, np.full(len(pairs), place, np.int64), times))
+                        held.append((pairs.astype(np.int32), np.full(len(pairs), place, np.uint16), times.astype(np.int32)))
+                        entries += len(pairs)
+                        if entries > FLUSH:
+                            # A chunk's containers may come in parts; their sets never share a document.
+                            done = flush()
+                            entries = 0
+                            if done is not None:
+                                yield done
                     out["_doc"].append((chunk << bits) | place)
                     out["n_a"].append(n_a)
                     out["n_b"].append(n_b)
