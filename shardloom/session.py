@@ -65,6 +65,14 @@ def value_rows(spark: SparkSession, column: str, values: Iterable[str]) -> DataF
     return spark.range(1).select(F.explode(array).alias(column))
 
 
+def stored(df: DataFrame, purpose: str = "stored") -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back: computed once, column-pruned
+    and with statistics on every later read, and safe from lost executors."""
+    path = new_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and cut its lineage; survives the loss of executors."""
     shared_folder(df.sparkSession)

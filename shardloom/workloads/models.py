@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardloom.functions import hashing as h
@@ -15,6 +16,7 @@ from shardloom.operators import metrics as mt
 from shardloom.operators import registry as r
 from shardloom.operators import sampling as sp
 from shardloom.operators import scoring as sc
+from shardloom.session import stored
 from shardloom.workloads import tables as t
 
 CLASSES = 10
@@ -109,17 +111,41 @@ def late_fusion(spark: SparkSession, folder: str) -> DataFrame:
     return _fused(spark, folder).select("vec_id", F.round(weighted, 6).alias("weighted_sum"))
 
 
+def _held_out() -> Column:
+    """Every fifth vector is kept from the fit and judges it."""
+    return F.col("vec_id") % 5 == 4
+
+
+def _stored_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Fused features written once; the fit's passes and the checks all read them."""
+    return stored(_fused(spark, folder), "features")
+
+
 def fit_classifier(spark: SparkSession, folder: str) -> DataFrame:
-    """Fit on the fused features; accuracy and loss per class."""
-    rows = _fused(spark, folder)
-    model = fu.fit_classifier(rows, "features", "label", max_steps=20)
-    scored = fu.apply_classifier(model, rows, "features")
+    """Fit on four fifths of the fused features; accuracy and loss per class on the fifth held out."""
+    rows = _stored_features(spark, folder)
+    model = fu.fit_classifier(rows.filter(~_held_out()), "features", "label", max_steps=20)
+    scored = fu.apply_classifier(model, rows.filter(_held_out()), "features")
     outcome = sc.with_outcome(scored, "logits", "label")
     return outcome.groupBy("label").agg(
         F.count("*").alias("n"), F.avg("correct").alias("accuracy"), F.avg("loss").alias("loss")
     )
 
 
+def classifier_stationarity(spark: SparkSession, folder: str) -> DataFrame:
+    """Per class: training rows and whether the fitted objective's gradient vanishes on its weights
+    (every component within ``fu.TOLERANCE``), which proves the fit reached its optimum."""
+    rows = _stored_features(spark, folder).filter(~_held_out())
+    model = fu.fit_classifier(rows, "features", "label")
+    grad, _ = fu.gradient(model, rows, "features", "label")
+    still = [(k, bool(np.abs(grad[k]).max() <= fu.TOLERANCE)) for k in range(grad.shape[0])]
+    proof = spark.createDataFrame(still, "label long, stationary boolean")
+    counts = rows.groupBy(F.col("label").cast("bigint").alias("label")).agg(F.count("*").alias("n"))
+    return counts.join(F.broadcast(proof), "label", "left").select(
+        "label", "n", F.coalesce("stationary", F.lit(False)).alias("stationary")
+    )
+
+
 def _registry(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as registered runs: the customer is the model, the order is the run."""
     runs = t.table(spark, folder, "orders").select(
@@ -221,11 +247,17 @@ QUERIES = {
     fn.__name__: fn
     for fn in (
         score_topk, request_validate, score_requests, evaluate, batch_metrics, promotion_gate,
-        late_fusion, fit_classifier, list_versions, latest_version, latest_checkpoint, config_hash,
+        late_fusion, fit_classifier, classifier_stationarity, list_versions, latest_version, latest_checkpoint, config_hash,
         run_tags, run_manifest,
     )
 }
 
+_STATIONARITY_SQL = """
+SELECT CAST(e.label AS BIGINT) AS label, count(*) AS n, true AS stationary
+FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id
+WHERE e.vec_id % 5 <> 4
+GROUP BY e.label"""
+
 _LOGITS_SQL = """
 logits AS (
   SELECT vec_id, list_transform(range(1, 11), lambda k: list_sum(list_transform(
@@ -322,6 +354,7 @@ FROM numbered GROUP BY batch_id""",
 SELECT label, avg(correct) >= 0.1::DOUBLE AND -avg(loss) >= -2.3::DOUBLE AS passed
 FROM outcome GROUP BY label""",
     ),
+    "classifier_stationarity": _STATIONARITY_SQL,
     "late_fusion": """
 WITH joined AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE))
