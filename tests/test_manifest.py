@@ -189,3 +189,31 @@ def test_stream_restart_neither_loses_nor_doubles(spark, tmp_path):
     found = {(r.shard_id, r.ingested) for r in stream_manifest.snapshot(spark, out).collect()}
     assert found == {("a", True), ("c", False)}
     assert {r.shard_id for r in stream_manifest.snapshot(spark, out, 0).collect()} == {"a", "b"}
+
+
+def test_stream_state_touches_only_its_buckets(spark, tmp_path):
+    """A batch rewrites only the buckets of its shards; a new checkpoint over an old folder goes on
+    from the stored state; compaction keeps the newest versions of each bucket."""
+    source, out = (str(tmp_path / n) for n in ("in", "out"))
+    log = append(spark, m.empty_log(spark), *[(f"s{k}", "ADD") for k in range(40)])
+    log.coalesce(1).write.parquet(source)
+
+    def run(check):
+        records = changes.read_files(spark, source, RECORD, files_per_batch=1)
+        stream_manifest.maintain(records, out, str(tmp_path / check), once=True, buckets=16, keep=1).awaitTermination()
+
+    run("check")
+    first = {(r.bucket, r.v) for r in stream_manifest.commits(spark, out).collect()}
+    one = append(spark, log, ("s3", "COMMIT")).filter("offset > 40")
+    one.coalesce(1).write.mode("append").parquet(source)
+    run("check")
+    second = {(r.bucket, r.v) for r in stream_manifest.commits(spark, out).filter("v = 1").collect()}
+    assert len(second) == 1 and len(first) > 1
+    # A new checkpoint reads every file again: the state goes on, nothing doubles or comes back.
+    removed = append(spark, log.union(one), ("s5", "REMOVE")).filter("offset > 41")
+    removed.coalesce(1).write.mode("append").parquet(source)
+    run("fresh")
+    found = {r.shard_id: r.ingested for r in stream_manifest.snapshot(spark, out).collect()}
+    assert found == {f"s{k}": k == 3 for k in range(40) if k != 5}
+    assert stream_manifest.snapshot(spark, out).count() == 39
+    assert stream_manifest.compact(spark, out, keep=1) == 0  # already compacted after each version
