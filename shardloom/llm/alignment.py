@@ -26,6 +26,7 @@ to it, and internal names cannot clash because the input travels as one nested c
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -83,8 +84,7 @@ def tokenizers(a_path: str, b_path: str):
             b_bytes.append(bytes([int(piece[3:5], 16)]))
         else:
             b_bytes.append(piece.replace(MARK, " ").encode())
-    numbers = np.array([str(i) for i in range(max(len(a_bytes), len(b_bytes)))], dtype=object)
-    return a, b, _Spelling(a_bytes), _Spelling(b_bytes), numbers
+    return a, b, _Spelling(a_bytes), _Spelling(b_bytes), _Digits(max(len(a_bytes), len(b_bytes)))
 
 
 class _Spelling:
@@ -113,9 +113,9 @@ def _distinct(ascending: np.ndarray) -> np.ndarray:
 
 
 def align_one(text: str | None, a_ids: np.ndarray, b_ids: np.ndarray, tables) -> tuple:
-    """(n_a, n_b, n_groups, n_links, groups, pair keys, multiplicities) of one text."""
-    _, _, a_spelling, b_spelling, numbers = tables
-    none = (0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
+    """(n_a, n_b, n_groups, n_links, groups spelled in UTF-8, pair keys, multiplicities) of one text."""
+    _, _, a_spelling, b_spelling, digits = tables
+    none = (0, 0, 0, 0, b"", np.zeros(0, np.int64), np.zeros(0, np.int64))
     if not text:
         return none
     full = np.frombuffer((" " + text).encode(), np.uint8)
@@ -133,19 +133,46 @@ def align_one(text: str | None, a_ids: np.ndarray, b_ids: np.ndarray, tables) ->
     first = np.r_[True, keys[1:] != keys[:-1]]
     pairs = keys[first]
     times = np.diff(np.r_[np.nonzero(first)[0], len(keys)])
-    # Groups spelled in order: A ids, '|', B ids, ';' between groups.
-    group = np.concatenate([np.searchsorted(cuts, a_end, "left"), np.searchsorted(cuts, b_end, "left")])
-    side = np.concatenate([np.zeros(len(a_ids), np.int64), np.ones(len(b_ids), np.int64)])
-    order = np.lexsort((np.arange(len(side)), side, group))
-    ids = np.concatenate([a_ids, b_ids])[order]
-    slot = (group * 2 + side)[order]
-    last = np.r_[slot[1:] != slot[:-1], True]
-    marks = np.where(last, np.where(side[order] == 0, "|", ";"), ",").astype(object)
-    marks[-1] = ""
-    words = np.empty(2 * len(ids), dtype=object)
-    words[0::2] = numbers[ids]
-    words[1::2] = marks
-    return len(a_ids), len(b_ids), len(cuts), len(ends), "".join(words), pairs, times
+    # Groups spelled in order: A ids, '|', B ids, ';' between groups. Both sides ascend by group, so
+    # a token's place is its own index plus the other side's tokens of earlier groups.
+    a_group, b_group = np.searchsorted(cuts, a_end, "left"), np.searchsorted(cuts, b_end, "left")
+    at_a = np.arange(len(a_ids)) + np.searchsorted(b_group, a_group, "left")
+    at_b = np.arange(len(b_ids)) + np.searchsorted(a_group, b_group, "right")
+    ids = np.empty(len(a_ids) + len(b_ids), np.int64)
+    ids[at_a], ids[at_b] = a_ids, b_ids
+    marks = np.empty(len(ids), np.uint8)
+    marks[at_a] = np.where(np.r_[a_group[1:] != a_group[:-1], True], ord("|"), ord(","))
+    marks[at_b] = np.where(np.r_[b_group[1:] != b_group[:-1], True], ord(";"), ord(","))
+    return len(a_ids), len(b_ids), len(cuts), len(ends), digits.spell(ids, marks), pairs, times
+
+
+def _flat(lists: list[list[int]]) -> list[np.ndarray]:
+    """Lists of ids as arrays, converted in one pass."""
+    sizes = np.fromiter((len(x) for x in lists), np.int64, count=len(lists))
+    flat = np.fromiter(itertools.chain.from_iterable(lists), np.int64, count=int(sizes.sum()))
+    return np.split(flat, np.cumsum(sizes)[:-1]) if len(lists) else []
+
+
+class _Digits:
+    """Decimal spellings of all ids in one array, so a sequence of ids with a mark after each is
+    written by one gather."""
+
+    def __init__(self, count: int) -> None:
+        words = [str(i).encode() for i in range(count)]
+        self.lengths = np.array([len(w) for w in words], np.int64)
+        self.starts = np.r_[0, np.cumsum(self.lengths)[:-1]]
+        self.blob = np.frombuffer(b"".join(words) + b"\0", np.uint8)
+
+    def spell(self, ids: np.ndarray, marks: np.ndarray) -> bytes:
+        """``ids`` in decimal, each followed by its mark, the last mark left out."""
+        if not len(ids):
+            return b""
+        widths = self.lengths[ids] + 1
+        places = np.r_[0, np.cumsum(widths)[:-1]]
+        source = np.repeat(self.starts[ids] - places, widths) + np.arange(int(widths.sum()))
+        out = self.blob[source]
+        out[places + widths - 1] = marks
+        return out[:-1].tobytes()
 
 
 def _containers(pairs: np.ndarray, places: np.ndarray, times: np.ndarray, bits: int):
@@ -234,11 +261,19 @@ def _encode(a_path: str, b_path: str, row_type: pa.DataType, spelled: bool, bits
                 while stop < len(texts) and (stop == start or size < BATCH_TEXT):
                     size += len(texts[stop] or "")
                     stop += 1
-                piece = [t or "" for t in texts[start:stop]]
-                a_all = a.encode_batch_fast([" " + t for t in piece], add_special_tokens=False)
-                b_all = b.encode(piece, num_threads=1)
+                # Equal texts of a piece are encoded and aligned once.
+                piece = texts[start:stop]
+                first: dict[str, int] = {}
+                for t in piece:
+                    first.setdefault(t or "", len(first))
+                distinct = list(first)
+                a_ids_all = _flat([e.ids for e in a.encode_batch_fast([" " + t for t in distinct], add_special_tokens=False)])
+                b_ids_all = _flat(b.encode(distinct, num_threads=1))
+                aligned = [
+                    align_one(t, a_ids_all[i], b_ids_all[i], tables) for i, t in enumerate(distinct)
+                ]
                 out = {k: [] for k in ("_doc", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "groups")}
-                for k, text in enumerate(texts[start:stop]):
+                for k, text in enumerate(piece):
                     number = seen + k
                     chunk = (part << 20) | (number >> bits)
                     if chunk != at_chunk:
@@ -247,9 +282,7 @@ def _encode(a_path: str, b_path: str, row_type: pa.DataType, spelled: bool, bits
                         if done is not None:
                             yield done
                         at_chunk = chunk
-                    a_ids = np.asarray(a_all[k].ids, np.int64)
-                    b_ids = np.asarray(b_all[k], np.int64)
-                    n_a, n_b, n_groups, n_links, groups, pairs, times = align_one(text, a_ids, b_ids, tables)
+                    n_a, n_b, n_groups, n_links, groups, pairs, times = aligned[first[text or ""]]
                     place = number & ((1 << bits) - 1)
                     if len(pairs):
                         held.append((pairs.astype(np.int32), np.full(len(pairs), place, np.uint16), times.astype(np.int32)))
@@ -265,8 +298,8 @@ def _encode(a_path: str, b_path: str, row_type: pa.DataType, spelled: bool, bits
                     out["n_b"].append(n_b)
                     out["n_groups"].append(n_groups)
                     out["n_links"].append(n_links)
-                    out["groups_sha256"].append(hashlib.sha256(groups.encode()).hexdigest() if groups else "")
-                    out["groups"].append(groups)
+                    out["groups_sha256"].append(hashlib.sha256(groups).hexdigest() if groups else "")
+                    out["groups"].append(groups.decode() if spelled else None)
                 seen += stop - start
                 n = stop - start
                 columns = {
