@@ -16,7 +16,8 @@ from shardloom.operators import metrics as mt
 from shardloom.operators import registry as r
 from shardloom.operators import sampling as sp
 from shardloom.operators import scoring as sc
-from shardloom.session import stored
+from shardloom.session import new_folder, stored
+from shardloom.sources.log import read_requests
 from shardloom.workloads import tables as t
 
 CLASSES = 10
@@ -71,6 +72,39 @@ def score_requests(spark: SparkSession, folder: str) -> DataFrame:
     return sc.top_k(scored, ["request_id"], "logits", F.col("top_k"), _names(spark, folder))
 
 
+MODEL_VERSION = "v1"
+
+
+def _request_files(spark: SparkSession, folder: str) -> str:
+    """The requests as a client sends them: JSON lines in the shared folder."""
+    path = new_folder(spark, "requests")
+    _requests(spark, folder).drop("conv_id").write.json(path)
+    return path
+
+
+def response_json(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests read from JSON lines, answered as nested JSON lines, and read back: one row per
+    prediction of every valid request. Scores come from the vector of the request's conversation."""
+    requests = read_requests(spark, _request_files(spark, folder))
+    valid, _ = g.separate(requests, request_rules())
+    conv = F.split("request_id", "-").getItem(0).cast("bigint")
+    scored = valid.select("request_id", "top_k", conv.alias("vec_id")).join(_logits(spark, folder), "vec_id")
+    nested = sc.responses(scored, "logits", F.col("top_k"), _names(spark, folder), MODEL_VERSION)
+    out = new_folder(spark, "responses")
+    sc.response_json(nested).select("body").write.text(out)
+    back = spark.read.schema(nested.schema).json(out)
+    return back.select("request_id", F.explode("predictions").alias("p")).select(
+        "request_id", "p.rank", "p.label", "p.subject_id", "p.confidence"
+    )
+
+
+def request_reject(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests read from JSON lines that break a rule, with the rules they break."""
+    requests = read_requests(spark, _request_files(spark, folder))
+    _, broken = g.separate(requests, request_rules())
+    return broken.select("request_id", F.array_join("violations", ",").alias("reason"))
+
+
 def evaluate(spark: SparkSession, folder: str) -> DataFrame:
     result = sc.evaluate(_logits(spark, folder), "logits", "label")
     return result.withColumns(t.rounded("val_loss", "val_accuracy"))
@@ -246,7 +280,7 @@ def run_manifest(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     fn.__name__: fn
     for fn in (
-        score_topk, request_validate, score_requests, evaluate, batch_metrics, promotion_gate,
+        score_topk, request_validate, score_requests, response_json, request_reject, evaluate, batch_metrics, promotion_gate,
         late_fusion, fit_classifier, classifier_stationarity, list_versions, latest_version, latest_checkpoint, config_hash,
         run_tags, run_manifest,
     )
@@ -334,6 +368,19 @@ scored AS (
         _RANKED_SQL.format(key="request_id", k="top_k", source="scored"),
         body=_RANKED_BODY.format(key="request_id"),
     ),
+    "response_json": t.with_ctes(
+        _REQUESTS_SQL,
+        _LOGITS_SQL,
+        """
+scored AS (
+  SELECT request_id, top_k, logits FROM checked JOIN logits ON vec_id = conv_id WHERE violations = ''
+)""",
+        _RANKED_SQL.format(key="request_id", k="top_k", source="scored"),
+        body=_RANKED_BODY.format(key="request_id"),
+    ),
+    "request_reject": t.with_ctes(
+        _REQUESTS_SQL, body=" SELECT request_id, violations AS reason FROM checked WHERE violations <> ''"
+    ),
     "evaluate": t.with_ctes(
         _LOGITS_SQL,
         body="""
