@@ -43,6 +43,8 @@ from shardloom.llm.frames import stored
 from shardloom.session import BROADCAST_ROWS
 
 A_FILE = "byte_bpe_50k.json"
+#: The same vocabulary as merge ranks, for a faster encoder that gives the same ids (tested).
+A_RANKS = "byte_bpe_50k.tiktoken"
 B_FILE = "piece_bpe_32k.model"
 MARK = "▁"  # sentencepiece's sign for a space
 CHUNK_BITS = 16  # documents of a chunk: 2^16
@@ -67,9 +69,37 @@ def _byte_values() -> dict[str, int]:
     return chars
 
 
+class _Ranked:
+    """Encoder A by its merge ranks: the byte-level BPE of ``A_FILE`` with its split pattern, special
+    strings as plain text, about a quarter of the other library's CPU time."""
+
+    def __init__(self, ranks_path: str) -> None:
+        import base64
+
+        import public_tokenizers
+        import tiktoken
+
+        with open(ranks_path, "rb") as handle:
+            ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, handle)}
+        self.encoding = tiktoken.Encoding(
+            "ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        return [self.encoding.encode_ordinary(t) for t in texts]
+
+
+class _Library:
+    def __init__(self, a: Tokenizer) -> None:
+        self.a = a
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+
+
 @lru_cache(maxsize=2)
-def tokenizers(a_path: str, b_path: str):
-    """Both libraries and each id's bytes (lengths and contents)."""
+def tokenizers(a_path: str, b_path: str, a_ranks: str | None = None):
+    """Encoder A (by its ranks where given), B, and each id's bytes (lengths and contents)."""
     a = Tokenizer.from_file(a_path)
     a.encode_special_tokens = True
     b = sentencepiece.SentencePieceProcessor(model_file=b_path)
@@ -84,7 +114,8 @@ def tokenizers(a_path: str, b_path: str):
             b_bytes.append(bytes([int(piece[3:5], 16)]))
         else:
             b_bytes.append(piece.replace(MARK, " ").encode())
-    return a, b, _Spelling(a_bytes), _Spelling(b_bytes), _Digits(max(len(a_bytes), len(b_bytes)))
+    encoder = _Ranked(a_ranks) if a_ranks else _Library(a)
+    return encoder, b, _Spelling(a_bytes), _Spelling(b_bytes), _Digits(max(len(a_bytes), len(b_bytes)))
 
 
 class _Spelling:
@@ -215,7 +246,7 @@ def decode_set(payload: bytes) -> np.ndarray:
     return np.nonzero(held)[0].astype(np.int64)
 
 
-def _encode(a_path: str, b_path: str, row_type: pa.DataType, spelled: bool, bits: int):
+def _encode(a_path: str, b_path: str, a_ranks: str | None, row_type: pa.DataType, spelled: bool, bits: int):
     fields = [
         ("_kind", pa.int8()), ("_doc", pa.int64()), ("_in", row_type), ("n_a", pa.int64()), ("n_b", pa.int64()),
         ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups_sha256", pa.string()),
@@ -225,7 +256,7 @@ def _encode(a_path: str, b_path: str, row_type: pa.DataType, spelled: bool, bits
     schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = tokenizers(a_path, b_path)
+        tables = tokenizers(a_path, b_path, a_ranks)
         a, b = tables[0], tables[1]
         part = TaskContext.get().partitionId()
         seen = 0
@@ -267,7 +298,7 @@ def _encode(a_path: str, b_path: str, row_type: pa.DataType, spelled: bool, bits
                 for t in piece:
                     first.setdefault(t or "", len(first))
                 distinct = list(first)
-                a_ids_all = _flat([e.ids for e in a.encode_batch_fast([" " + t for t in distinct], add_special_tokens=False)])
+                a_ids_all = _flat(a.ids([" " + t for t in distinct]))
                 b_ids_all = _flat(b.encode(distinct, num_threads=1))
                 aligned = [
                     align_one(t, a_ids_all[i], b_ids_all[i], tables) for i, t in enumerate(distinct)
@@ -359,11 +390,13 @@ def align(
     keep: Sequence[str] | None = None,
     spelled: bool = False,
     chunk_bits: int = CHUNK_BITS,
+    a_ranks: str | None = None,
 ) -> DataFrame:
     """The columns of ``keep`` (all by default) with ``n_a``, ``n_b``, ``n_groups``, ``n_links``,
     ``n_best``, ``count_sum``, ``groups_sha256`` (hex SHA-256 of the groups spelled
     ``a1,a2|b1;a3|b2,b3``; '' without tokens) and, where ``spelled``, ``groups`` itself. A chunk holds
-    ``2^chunk_bits`` documents (at most 16)."""
+    ``2^chunk_bits`` documents (at most 16). ``a_ranks``, the merge ranks of A's vocabulary, lets a
+    faster encoder give A's ids."""
     names = [c for c in (docs.columns if keep is None else keep) if c not in RESULTS]
     source = docs.select(
         F.struct(*[docs[c].alias(c) for c in names]).alias("_in"), docs[text].cast("string").alias("_text")
@@ -380,7 +413,7 @@ def align(
             T.StructField("_payload", T.BinaryType()), T.StructField("_bits", T.LongType()),
         ]
     )
-    encoded = stored(source.mapInArrow(_encode(a_path, b_path, row_type, spelled, chunk_bits), out_type), "align")
+    encoded = stored(source.mapInArrow(_encode(a_path, b_path, a_ranks, row_type, spelled, chunk_bits), out_type), "align")
     documents = encoded.filter("_kind = 0")
     containers = encoded.filter("_kind = 1").select("_pair", "_chunk", "_plane", "_payload", "_bits")
 

@@ -97,8 +97,8 @@ def op11_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
-    a_path, b_path = (str(public_tokenizers.path(f)) for f in (alignment.A_FILE, alignment.B_FILE))
-    aligned = alignment.align(_documents(spark, folder), a_path, b_path, keep=["doc_id"])
+    a_path, b_path, ranks = (str(public_tokenizers.path(f)) for f in (alignment.A_FILE, alignment.B_FILE, alignment.A_RANKS))
+    aligned = alignment.align(_documents(spark, folder), a_path, b_path, keep=["doc_id"], a_ranks=ranks)
     return aligned.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256",

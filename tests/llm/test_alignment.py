@@ -98,6 +98,8 @@ def test_awkward_rows(spark):
     docs = frame(spark, rows)
     out = alignment.align(docs, A_PATH, B_PATH)
     assert got(out) == plain([(r[0], r[1]) for r in rows])
+    ranked = alignment.align(docs, A_PATH, B_PATH, a_ranks=str(P.path(alignment.A_RANKS)))
+    assert got(ranked) == got(out)
     none = out.filter("doc_id IN (1, 2)").collect()
     assert [(r["n_a"], r["n_links"], r["groups_sha256"]) for r in none] == [(0, 0, "")] * 2
 
