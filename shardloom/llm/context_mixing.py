@@ -1,7 +1,7 @@
 """Online logistic mixing of hashed-context bit predictors: what words cost when they are spelled.
 
 A word is spelled as its UTF-8 bytes and closed by a space; a text's end is one byte. Bytes are predicted
-bit by bit. Each predictor looks at one context (the last 1, 2 or 4 bytes) and finds in a hashed
+bit by bit. Each predictor looks at one context (the last 1, 2, 4 or 6 bytes) and finds in a hashed
 table how often 0 and 1 followed. The predictors' log odds are mixed with weights chosen by a gate (how
 sure the last predictor is), and the mix is refined by a table of what came true at that estimate.
 Contexts reach back to the mark the word before ends in, if any, so a word behind a mark always costs
@@ -27,9 +27,9 @@ import pyarrow as pa
 from shardloom.llm.frames import as_blocks
 from shardloom.llm.text import Words, inverse_table, mix, power_table
 
-ORDERS = (1, 2, 4)  # bytes of context
+ORDERS = (1, 2, 4, 6)  # bytes of context
 K = len(ORDERS)
-SLOT_BITS = (18, 20, 22)
+SLOT_BITS = (18, 20, 22, 22)
 AT = tuple(sum(1 << b for b in SLOT_BITS[:k]) for k in range(K + 1))  # where each table begins
 SLOTS = AT[-1]
 LEVELS = (8, 24, 48, 72, 96)  # gates: how sure the last predictor is, in sixteenths
@@ -94,6 +94,22 @@ class Units:
         self.unit, self.begin, self.data = unit[self.place], at[:-1][unit[self.place]], data
         self.word = word  # an occurrence of each unit's word, or -1 for an end
 
+    @classmethod
+    def of_words(cls, data: np.ndarray, size: np.ndarray, counts: np.ndarray) -> Units:
+        """Each word of ``data`` a unit of its own, as behind a word without a mark."""
+        new, size = cls.__new__(cls), size.astype(np.int64) + 2
+        end = np.cumsum(size)
+        new.data = np.full(size.sum(), SPACE, np.uint8)
+        inside = np.ones(len(new.data), bool)
+        inside[end - size], inside[end - 1] = False, False
+        new.data[inside] = data
+        coded = np.ones(len(new.data), bool)
+        coded[end - size] = False
+        new.place = np.flatnonzero(coded)
+        new.unit = np.repeat(np.arange(len(size)), size - 1)
+        new.begin, new.counts = (end - size)[new.unit], counts
+        return new
+
     def only(self, asked: np.ndarray) -> Units:
         """The same with the bytes of some units only."""
         new, keep = copy.copy(self), asked[self.unit]
@@ -136,8 +152,9 @@ _GATE = np.searchsorted(LEVELS, np.arange(256), "right")
 
 def _odds(counts: np.ndarray) -> np.ndarray:
     """Log odds in sixteenths from rows of (zeros, ones)."""
-    n = np.log(counts.astype(np.float32) + np.float32(PRIOR))
-    return np.clip(np.rint(16 * (n[:, 1] - n[:, 0])), -127, 127).astype(np.int8)
+    n = counts.astype(np.float32) + np.float32(PRIOR)
+    odds = np.log(n[:, 1] / n[:, 0])
+    return np.clip(np.rint(np.float32(16) * odds), np.float32(-127), np.float32(127)).astype(np.int8)
 
 
 class Model:
@@ -223,8 +240,8 @@ class Learner:
             self.taught += m.sum() if known else 0
             s = e
         self.words += int(times.sum())
-        for at in range(0, 2 * SLOTS, 1 << 20):
-            model.odds[at // 2 : at // 2 + (1 << 19)] = _odds(self.counts[at : at + (1 << 20)].reshape(-1, 2))
+        for at in range(0, 2 * SLOTS, BLOCK):
+            model.odds[at // 2 : (at + BLOCK) // 2] = _odds(self.counts[at : at + BLOCK].reshape(-1, 2))
 
     def _correct(self, slots, node, bit, m) -> None:
         model = self.model
