@@ -5,9 +5,10 @@ bit by bit. Each predictor looks at one context (the last 1, 2, 4 or 6 bytes) an
 table how often 0 and 1 followed. The predictors' log odds are mixed with weights chosen by a gate (how
 sure the last predictor is), and the mix is refined by a table of what came true at that estimate.
 Contexts reach back to the mark the word before ends in, if any, so a word behind a mark always costs
-the same, and each distinct one is computed once.
+the same, and each distinct one is computed once. Words without their text (``Units.of_words``) cost what
+they do behind a letter or digit.
 
-Learning is one pass over the texts to learn from. Every task goes through its texts piece by piece:
+Learning is one pass over texts, or over distinct words with their counts. Every task goes piece by piece:
 it predicts a piece, corrects weights and refinement by what came true at every bit, then counts the
 piece. Its first stretches are short and counted at once, so that little text teaches weights, too. Counts
 and refinement of all tasks are added up; weights are averaged by the bytes they were corrected on, and
