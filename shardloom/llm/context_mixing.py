@@ -10,7 +10,8 @@ they do behind a letter or digit.
 
 Learning is one pass over texts, or over distinct words with their counts. Every task goes piece by piece:
 it predicts a piece, corrects weights and refinement by what came true at every bit, then counts the
-piece. Its first stretches are short and counted at once, so that little text teaches weights, too. Counts
+piece. Bytes that are equal in equal contexts cost the same; each kind is computed once, with its count.
+Its first stretches are short and counted at once, so that little text teaches weights, too. Counts
 and refinement of all tasks are added up; weights are averaged by the bytes they were corrected on, and
 those of a task that corrected nothing are left out. Scoring uses the result as it is, so a text's score
 does not depend on its neighbours.
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from shardloom.llm.frames import as_blocks
-from shardloom.llm.text import Words, inverse_table, mix, power_table
+from shardloom.llm.text import Words, kinds, mix, power_table
 
 ORDERS = (1, 2, 4, 6)  # bytes of context
 K = len(ORDERS)
@@ -36,7 +37,9 @@ SLOTS = AT[-1]
 LEVELS = (8, 24, 48, 72, 96)  # gates: how sure the last predictor is, in sixteenths
 GATES = len(LEVELS) + 1
 BLOCK = 1 << 14
-STEP = 1 << 14  # bytes predicted at a time
+STEP = 1 << 14  # bytes predicted at a time by a learner
+COST_STEP = 1 << 13  # different ones where nothing is learned, which makes no difference to the result
+ALIKE = 1 << 19  # bytes among which equal ones are sought then
 FIRST_STEP = 1 << 3  # of a task; each stretch of its first piece is twice as long as the one before
 FIRST_PIECE, MOST_PIECE = 1 << 18, 4 << 20  # bytes a task learns from at first, and in the end
 SPACE, END = 0x20, 0x0A
@@ -45,12 +48,17 @@ CELLS = 256 * (2 * RANGE * FINE + 1)
 PRIOR = 0.4
 STEADY = 30.0  # how many cases a refinement cell must have seen to weigh as much as the mix
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_STRIDE = np.uint64(int(power_table(2)[1]))  # of a context's hash, a polynomial of its bytes
+_OWN = np.array([(1 << 8 * (n + 1)) - 1 for n in range(ORDERS[-1] + 1)], np.uint64)  # n bytes before a byte, and it
 _SHIFT = np.array([[64 + 4 - b] for b in SLOT_BITS], np.uint64)
 _AT = np.array([[a] for a in AT[:-1]], np.int64)
 
 
-def _logistic(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+def logistic(x: np.ndarray) -> np.ndarray:
+    out = np.negative(x)
+    np.exp(out, out=out)
+    out += 1
+    return np.divide(1, out, out=out)
 
 
 # What a word ends in, if it is not a letter or digit: that counts for the word behind it.
@@ -117,28 +125,49 @@ class Units:
         new.place, new.unit, new.begin = self.place[keep], self.unit[keep], self.begin[keep]
         return new
 
-    def contexts(self, s: int, e: int) -> np.ndarray:
-        """A hash of each context of the coded bytes ``s:e``."""
+    def alike(self, s: int, e: int) -> tuple[np.ndarray, np.ndarray]:
+        """Coded bytes ``s:e`` that are equal and have equal contexts cost the same. (One place of each kind
+        among the coded bytes, the kind of every byte.)"""
         low = self.begin[s]
-        place, begin = self.place[s:e] - low, self.begin[s:e] - low
-        bytes_ = self.data[low : self.place[e - 1] + 1].astype(np.uint64) + np.uint64(1)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(bytes_ * power_table(len(bytes_)), dtype=np.uint64)])
-        back = inverse_table(len(bytes_) + 1)
+        data = self.data[low : self.place[e - 1] + 1].astype(np.uint64)
+        key = data.copy()  # a byte and, above it, those before it: as many as the longest context has
+        for back in range(1, ORDERS[-1] + 1):
+            key[back:] |= data[:-back] << np.uint64(8 * back)
+        reach = np.minimum(self.place[s:e] - self.begin[s:e], ORDERS[-1])
+        key = key.take(self.place[s:e] - low)
+        key &= _OWN.take(reach)
+        key |= reach.astype(np.uint64) << np.uint64(56)
+        one, of, _ = kinds(mix(key))  # which is another key for another one
+        return s + one, of
+
+    def contexts(self, which: np.ndarray | slice) -> np.ndarray:
+        """A hash of each context of some coded bytes."""
+        place = self.place[which]
+        reach = place - self.begin[which]
         out = np.empty((K, len(place)), np.uint64)
-        for k, order in enumerate(ORDERS):
-            start = np.maximum(place - order, begin)
-            held = (sums[place] - sums[start]) * back[start]
-            held += (place - start).astype(np.uint64) * _ODD + np.uint64(k)
-            out[k] = held
+        held, k = np.zeros(len(place), np.uint64), 0
+        for back in range(1, ORDERS[-1] + 1):
+            inside = reach >= back
+            further = held * _STRIDE
+            further += self.data.take(place - back, mode="clip")
+            further += np.uint64(1)
+            np.copyto(held, further, where=inside)
+            if back == ORDERS[k]:
+                np.add(held, np.minimum(reach, back).astype(np.uint64) * _ODD + np.uint64(k), out=out[k])
+                k += 1
         return out
 
 
-def _bits(units: Units, s: int, e: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(slots of all predictors, bits so far with a leading 1, the bit) of each of a byte's bits.
+def _bits(units: Units, s: int, e: int):
+    return _bits_of(units, slice(s, e))
+
+
+def _bits_of(units: Units, which: np.ndarray | slice) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(slots of all predictors, bits so far with a leading 1, the bit) of each bit of some coded bytes.
 
     The slots of a context's first four bits lie side by side, and those of its last four."""
-    contexts = units.contexts(s, e)
-    byte = units.data[units.place[s:e]].astype(np.int64)
+    contexts = units.contexts(which)
+    byte = units.data[units.place[which]].astype(np.int64)
     base = None
     for j in range(8):
         node = (1 << j) | (byte >> (8 - j))
@@ -148,9 +177,6 @@ def _bits(units: Units, s: int, e: int) -> Iterator[tuple[np.ndarray, np.ndarray
         yield base + ((1 << j % 4) | (byte >> (8 - j) & ((1 << j % 4) - 1))), node, (byte >> (7 - j)) & 1
 
 
-_GATE = np.searchsorted(LEVELS, np.arange(256), "right")
-
-
 def _odds(counts: np.ndarray) -> np.ndarray:
     """Log odds in sixteenths from rows of (zeros, ones)."""
     n = counts.astype(np.float32) + np.float32(PRIOR)
@@ -158,6 +184,40 @@ def _odds(counts: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(np.float32(16) * odds), np.float32(-127), np.float32(127)).astype(np.int8)
 
 
+def set_odds(odds: np.ndarray, counts: np.ndarray) -> None:
+    """Writes the odds of all slots, a block at a time."""
+    for at in range(0, len(counts), BLOCK):
+        odds[at // 2 : (at + BLOCK) // 2] = _odds(counts[at : at + BLOCK].reshape(-1, 2))
+
+
+def sure(odds: np.ndarray, levels: tuple[int, ...]) -> np.ndarray:
+    """How many of the levels odds in sixteenths reach on either side."""
+    far = np.abs(odds)
+    out = (far >= levels[0]).view(np.uint8)
+    for least in levels[1:]:
+        out += (far >= least).view(np.uint8)
+    return out
+
+
+def blend(weights: np.ndarray, *odds: np.ndarray) -> np.ndarray:
+    """The sum of log odds, each by its column of weights; whole numbers are sixteenths."""
+    out = None
+    for k, some in enumerate(odds):
+        part = some * np.float32(1 / 16) if some.dtype == np.int8 else some.copy()
+        part *= weights[:, k]
+        out = part if out is None else np.add(out, part, out=out)
+    return out
+
+
+def refine(table: np.ndarray, odds: np.ndarray) -> np.ndarray:
+    """Probabilities from the mix and the rows of the refinement's table (what came true, weight of the mix)."""
+    p = logistic(odds)
+    np.clip(p, np.float32(1e-5), np.float32(1 - 1e-5), out=p)
+    p *= table[:, 1]
+    p += table[:, 0]
+    return np.clip(p, np.float32(1e-6), np.float32(1 - 1e-6), out=p)
+
+
 class Model:
     """Log odds and evidence of every slot, weights by gate, and the refinement's counts."""
 
@@ -175,26 +235,26 @@ class Model:
         self.odds[at : at + len(n)] = _odds(n)
 
     def mixed(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(inputs, gate, log odds of the mix)."""
-        inputs = self.odds.take(slots).astype(np.float32)
-        gate = _GATE[np.abs(inputs[-1]).astype(np.uint8)]
-        inputs *= np.float32(1 / 16)
-        return inputs, gate, np.einsum("kn,nk->n", inputs, self.weights[gate])
+        """(log odds of the predictors in sixteenths, gate, log odds of the mix)."""
+        found = self.odds.take(slots)
+        gate = sure(found[-1], LEVELS).astype(np.intp)
+        return found, gate, blend(self.weights.take(gate, axis=0), *found)
 
     @staticmethod
     def cells(node: np.ndarray, odds: np.ndarray) -> np.ndarray:
-        level = np.rint(np.clip(odds, -RANGE, RANGE) * np.float32(FINE)).astype(np.int64)
-        return node * (2 * RANGE * FINE + 1) + (level + RANGE * FINE)
+        level = np.clip(odds, np.float32(-RANGE), np.float32(RANGE))
+        level *= np.float32(FINE)
+        cell = np.rint(level, out=level).astype(np.int64)
+        cell += node * (2 * RANGE * FINE + 1) + RANGE * FINE
+        return cell
 
     def refined(self, node: np.ndarray, odds: np.ndarray) -> np.ndarray:
         """The probability of a one: the mean of the mix and of what came true at that estimate, which
         counts as ``STEADY`` cases of the mix where little has been seen."""
         if self.table is None:
             weight = 1 / (self.cases + STEADY)
-            self.table = np.stack([self.came * weight, 1 + STEADY * weight]).astype(np.float32) / 2
-        p = np.clip(_logistic(odds), np.float32(1e-5), np.float32(1 - 1e-5))
-        cell = self.cells(node, odds)
-        return np.clip(self.table[0].take(cell) + self.table[1].take(cell) * p, np.float32(1e-6), np.float32(1 - 1e-6))
+            self.table = np.stack([self.came * weight, 1 + STEADY * weight], 1).astype(np.float32) / 2
+        return refine(self.table.take(self.cells(node, odds), axis=0), odds)
 
     def costs(self, units: Units, wanted: np.ndarray | None = None) -> np.ndarray:
         """The natural logarithm of each unit's probability (of the ``wanted`` ones; 0 for others)."""
@@ -203,14 +263,19 @@ class Model:
             asked = np.zeros(len(out), bool)
             asked[wanted] = True
             units = units.only(asked)
-        for s in range(0, len(units.place), STEP):
-            e = min(s + STEP, len(units.place))
-            chance = np.ones(e - s)  # eight factors of a millionth at least don't underflow
-            for slots, node, bit in _bits(units, s, e):
-                p = self.refined(node, self.mixed(slots)[2])
-                chance *= np.abs(p - (1 - bit))
-            total = np.log(chance)
-            out += np.bincount(units.unit[s:e], total, len(out))
+        for s in range(0, len(units.place), ALIKE):
+            e = min(s + ALIKE, len(units.place))
+            one, of = units.alike(s, e)
+            cost = np.empty(len(one))
+            for at in range(0, len(one), COST_STEP):
+                some = one[at : at + COST_STEP]
+                chance = np.ones(len(some))  # eight factors of a millionth at least don't underflow
+                for slots, node, bit in _bits_of(units, some):
+                    p = self.refined(node, self.mixed(slots)[2])
+                    chance *= np.abs(p - (1 - bit))
+                cost[at : at + len(some)] = np.log(chance)
+            unit = units.unit[s:e]  # in ascending order
+            out[unit[0] : unit[-1] + 1] += np.bincount(unit - unit[0], cost.take(of))
         return out
 
 
@@ -219,45 +284,57 @@ class Learner:
 
     def __init__(self):
         self.counts = np.zeros(2 * SLOTS, np.float32)
-        self.model = Model()
+        self._model, self.stale = Model(), False
         self.rounds, self.words = 0, 0
         self.taught = 0.0  # bytes that weights and refinement were corrected on
 
+    @property
+    def model(self) -> Model:
+        """With the odds of all that has been counted."""
+        if self.stale:
+            set_odds(self._model.odds, self.counts)
+            self.stale = False
+        return self._model
+
     def add(self, units: Units) -> None:
         model, times = self.model, units.counts
         early, s = not self.words, 0
         while s < len(units.place):
             e = min(s + (min(max(s, FIRST_STEP), STEP) if early else STEP), len(units.place))
-            m = times[units.unit[s:e]].astype(np.float64)
+            one, of = units.alike(s, e)
+            m = np.bincount(of, times[units.unit[s:e]])
+            added = np.tile(m.astype(np.float32), K)
             known = s > 0 or not early
-            for slots, node, bit in _bits(units, s, e):
+            for slots, node, bit in _bits_of(units, one):
                 if known:
-                    self._correct(slots, node, bit, m)
-                cells = (slots * 2 + bit).reshape(-1)
-                np.add.at(self.counts, cells, np.tile(m.astype(np.float32), K))
+                    self._correct(model, slots, node, bit, m)
+                cells = slots * 2
+                cells += bit
+                np.add.at(self.counts, cells.reshape(-1), added)
                 if early and e <= 2 * STEP:
                     used = slots.reshape(-1)
                     model.odds[used] = _odds(self.counts.reshape(-1, 2)[used])
             self.taught += m.sum() if known else 0
             s = e
         self.words += int(times.sum())
-        for at in range(0, 2 * SLOTS, BLOCK):
-            model.odds[at // 2 : (at + BLOCK) // 2] = _odds(self.counts[at : at + BLOCK].reshape(-1, 2))
+        self.stale = True
 
-    def _correct(self, slots, node, bit, m) -> None:
-        model = self.model
-        inputs, gate, odds = model.mixed(slots)
-        error = (bit - _logistic(np.clip(odds, -12, 12))) * m
+    def _correct(self, model, slots, node, bit, m) -> None:
+        found, gate, odds = model.mixed(slots)
+        cell = model.cells(node, odds)
+        error = (bit - logistic(np.clip(odds, np.float32(-12), np.float32(12), out=odds))) * m
         self.rounds += 1
         rate = 0.5 / np.sqrt(1 + self.rounds / 40)
-        total = np.bincount(gate, m, GATES)
+        total = np.maximum(np.bincount(gate, m, GATES), 64) * 16
         for k in range(K):
-            slope = np.bincount(gate, error * inputs[k], GATES) / np.maximum(total, 64)
+            slope = np.bincount(gate, error * found[k], GATES) / total
             model.weights[:, k] += (rate * np.clip(slope, -0.2, 0.2)).astype(np.float32)
-        cell = model.cells(node, odds)
-        model.cases += np.bincount(cell, m, CELLS)
-        model.came += np.bincount(cell, m * bit, CELLS)
-
+        cell *= 2
+        cell += bit
+        seen = np.bincount(cell, m, 2 * CELLS)
+        model.cases += seen[::2]
+        model.cases += seen[1::2]
+        model.came += seen[1::2]
 
     def blocks(self) -> Iterator[pa.RecordBatch]:
         """What the task has learned, as blocks that are added up over all tasks."""
@@ -266,8 +343,8 @@ class Learner:
         for at in range(0, 2 * SLOTS, 64 * BLOCK):
             yield from as_blocks(self.counts[at : at + 64 * BLOCK].astype(np.float64), BLOCK, at // BLOCK)
         extra = np.zeros(_EXTRA)
-        extra[:CELLS], extra[CELLS : 2 * CELLS] = self.model.came, self.model.cases
-        extra[2 * CELLS : _WEIGHT] = self.model.weights.reshape(-1) * self.taught
+        extra[:CELLS], extra[CELLS : 2 * CELLS] = self._model.came, self._model.cases
+        extra[2 * CELLS : _WEIGHT] = self._model.weights.reshape(-1) * self.taught
         extra[_WEIGHT] = self.taught
         yield from as_blocks(extra, BLOCK, TABLE_BLOCKS)
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from shardloom.llm import context_mixing as cm
 from shardloom.llm import word_mixing as wm
 from shardloom.llm.frames import BLOCKS, TEXT, as_blocks, by_bucket, merged, pack, stored, unpack, unsqueeze
-from shardloom.llm.text import Words, pieces, words
+from shardloom.llm.text import Words, kinds, mix, pieces, sorting, words
 
 FREQUENT = 1 << 16
 TOPICS = 24
@@ -74,9 +74,15 @@ def cut_out(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray
 
 def grouped(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(an order that sorts the pairs, the number of each sorted pair's group)."""
-    order = np.lexsort((b, a))
+    order = sorting(a)
+    one, two = a.take(order), b.take(order)
+    same = one[1:] == one[:-1]
+    if (same & (two[1:] < two[:-1])).any():  # where the first of a pair doesn't decide
+        order = np.lexsort((b, a))
+        one, two = a.take(order), b.take(order)
+        same = one[1:] == one[:-1]
     new = np.ones(len(a), bool)
-    new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+    new[1:] = ~same | (two[1:] != two[:-1])
     return order, np.cumsum(new) - 1
 
 
@@ -85,7 +91,7 @@ def grouped(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _dealt(buckets: int, a: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, places in it)."""
-    bucket = (a >> np.uint64(20)) % np.uint64(buckets)
+    bucket = ((a >> np.uint64(20)) % np.uint64(buckets)).astype(np.min_scalar_type(buckets))
     order = np.argsort(bucket, kind="stable")
     edge = np.flatnonzero(np.concatenate([[True], bucket[order][1:] != bucket[order][:-1]]))
     for s, e in zip(edge, np.append(edge[1:], len(order))):
@@ -99,13 +105,13 @@ def _counted(buckets: int):
                 found = words(piece.column(TEXT), lower=True)
                 a, b = digests(found)
                 start, size = spans(found)
-                distinct, first, n = np.unique(a, return_index=True, return_counts=True)
-                rows = np.empty(len(distinct), COUNTS)
-                rows["a"], rows["b"], rows["n"] = distinct, b[first], n
+                first, _, n = kinds(a)
+                rows = np.empty(len(first), COUNTS)
+                rows["a"], rows["b"], rows["n"] = a[first], b[first], n
                 start, size = start[first], size[first].astype(_SIZES)
                 dealt = [
                     (k, pack(rows[at], size[at], cut_out(found.data, start[at], size[at])))
-                    for k, at in _dealt(buckets, distinct)
+                    for k, at in _dealt(buckets, rows["a"])
                 ]
                 if dealt:
                     yield pa.RecordBatch.from_arrays(
@@ -368,7 +374,7 @@ def _ask(shared, buckets: int):
     def _questions(found, a, b, seldom, row, topic, piece, buckets):
         if not len(seldom):
             return
-        _, one, of = np.unique(a[seldom], return_index=True, return_inverse=True)
+        one, of, _ = kinds(a[seldom])
         key, n = np.unique(of * np.int64(len(topic)) + row[seldom], return_counts=True)
         unit, text = key // len(topic), key % len(topic)
         lead = np.flatnonzero(np.diff(unit, prepend=-1))
@@ -429,7 +435,7 @@ def _answer(shared):
         n, topic = use["n"].astype(np.float64), text["topic"][of].astype(np.int64)
         learned = n * text["learned"][of]
         counted = np.bincount(word, learned)[word]
-        _, pair = np.unique(word * (TOPICS + 1) + topic, return_inverse=True)
+        _, pair, _ = kinds(mix((word * (TOPICS + 1) + topic).astype(np.uint64)))
         in_topic = np.bincount(pair, learned)[pair]
         p = _chance(known, counted, in_topic, topic, spelled)
         sums = [

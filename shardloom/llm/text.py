@@ -128,6 +128,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def sorting(values: np.ndarray) -> np.ndarray:
+    """The order that sorts 64-bit digests, equal ones by place. Their first bits are sorted together with their
+    places, which is several times as fast as ``argsort``; where those bits don't decide, it does the work."""
+    low = np.uint64((1 << len(values).bit_length()) - 1)
+    keys = values & ~low
+    keys |= np.arange(len(values), dtype=np.uint64)
+    keys.sort()
+    keys &= low
+    order = keys.view(np.int64)
+    found = values.take(order)
+    return order if (found[1:] >= found[:-1]).all() else np.argsort(values, kind="stable")
+
+
+def kinds(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(First places of the distinct digests in ascending order, the number of each value's, how often each occurs)."""
+    order = sorting(values)
+    found = values.take(order)
+    new = np.ones(len(values), bool)
+    new[1:] = found[1:] != found[:-1]
+    of = np.empty(len(values), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return order[new], of, np.diff(np.append(np.flatnonzero(new), len(values)))
+
+
 def rolling(values: np.ndarray, width: int, which: int = 0) -> np.ndarray:
     """A hash of every run of ``width`` consecutive values, by the index of its first."""
     if len(values) < width:

@@ -22,19 +22,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from shardloom.llm.context_mixing import BLOCK, FINE, RANGE, STEADY, _logistic, _odds
+from shardloom.llm.context_mixing import BLOCK, FINE, RANGE, STEADY, _odds, blend, logistic, refine, set_odds, sure
 from shardloom.llm.frames import as_blocks
 from shardloom.llm.text import mix
 
 K = 4  # exact counts, topic, one word before, two words before
 LEAST_BITS, MOST_BITS = 16, 22  # of the slots of each hashed table
-SURE = np.searchsorted((1, 16, 40), np.arange(256), "right")  # of a word context, by its odds in sixteenths
+SURE = (1, 16, 40)  # of a word context, by its odds in sixteenths
 GATES = 16
 DEPTHS = 16  # refinement and its cells tell depths apart up to here
 CELLS = DEPTHS * (2 * RANGE * FINE + 1)
-STEP = 1 << 12  # tokens predicted at a time
+STEP = 1 << 12  # tokens predicted at a time by a learner
+COST_STEP = 1 << 13  # and where nothing is learned, which makes no difference to the result
 FIRST_STEP = 1 << 3  # of a task; each stretch of its first piece is twice as long as the one before
 _EXTRA_CELLS = 2 * CELLS + GATES * K + 1
+STEPS = np.dtype([("at", "<i8"), ("odds", "<f4"), ("zero", "<f4")])
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -68,15 +70,20 @@ class Code:
         for k, (symbols, nodes, bits) in enumerate(levels):
             at = self.start[symbols] + self.size[symbols] - 1 - k
             self.node[at], self.bit[at] = nodes, bits
-        # The node that opens each four bits of a path, and the bits since then with a leading 1.
+        # Of each bit: its node with the bits since the last multiple of four (and a leading 1) behind it, the
+        # node's odds, and 1 for a zero.
         path = np.arange(len(self.node))
-        depth = path - np.repeat(self.start, self.size)
-        since, self.depth = depth % 4, np.minimum(depth, DEPTHS - 1).astype(np.uint8)
-        self.group = mix((self.node[path - since] + 1).astype(np.uint64) * _ODD)  # a hash of it
-        self.local = np.ones(len(path), np.uint8)
+        since = (path - np.repeat(self.start, self.size)) % 4
+        local = np.ones(len(path), np.int64)
         for k in range(3):
             on = since > k
-            self.local[on] = self.local[on] * 2 + self.bit[(path - since)[on] + k]
+            local[on] = local[on] * 2 + self.bit[(path - since)[on] + k]
+        self.step = np.empty(len(path), STEPS)
+        self.step["at"] = self.node.astype(np.int64) * 16 + local
+        self.step["odds"], self.step["zero"] = self.odds[self.node], 1 - self.bit
+        self.group = mix((self.node + 1).astype(np.uint64) * _ODD)  # a hash of the node, where it opens four bits
+        self.length = self.size.astype(np.uint8)
+        self.longest = int(self.size.max())
 
 
 def table_bits(tokens: int) -> int:
@@ -93,7 +100,7 @@ class Tokens:
             if len(a) > k:
                 before[k - 1, k:] = np.where(row[k:] == row[:-k], a[:-k], np.uint64(0))
         one = mix(before[0] + _ODD)
-        self.contexts = one, mix(one + before[1] * _ODD)
+        self.contexts = np.stack([one, mix(one + before[1] * _ODD)])
 
 
 class Model:
@@ -101,6 +108,7 @@ class Model:
         nodes = len(code.odds)
         self.code, self.nodes, self.shift = code, nodes, np.uint64(64 + 4 - bits)
         self.at = (topics * nodes, topics * nodes + (1 << bits))
+        self.tables = np.array([[a] for a in self.at], np.uint64)
         slots = topics * nodes + (2 << bits)
         self.slots = -(-slots // (BLOCK // 2)) * (BLOCK // 2)
         self.odds = np.zeros(self.slots, np.int8)  # sixteenths
@@ -112,58 +120,92 @@ class Model:
     def blocks(self) -> int:
         return self.slots * 2 // BLOCK
 
-    def bits(self, tokens: Tokens, s: int, e: int):
-        """(slots of the three learned predictors, node, bit, depth, bits of each token) of tokens ``s:e``."""
-        symbols = tokens.symbols[s:e]
-        size = self.code.size[symbols]
-        first = np.cumsum(size) - size
-        path = np.arange(first[-1] + size[-1]) + np.repeat(self.code.start[symbols] - first, size)
-        node = self.code.node.take(path)
-        slots = np.empty((K - 1, len(path)), np.int64)
-        np.add(np.repeat(tokens.topic[s:e] * self.nodes, size), node, out=slots[0])
-        # What a context has in its next four bits lies side by side.
-        hashed, local = self.code.group.take(path), self.code.local.take(path)
-        for k in (0, 1):
-            found = np.repeat(tokens.contexts[k][s:e], size)
-            found ^= hashed
-            found *= _ODD
-            found >>= self.shift
-            found <<= np.uint64(4)
-            found += np.uint64(self.at[k])
-            np.add(found.view(np.int64), local, out=slots[k + 1])
-        return slots, node, self.code.bit.take(path), self.code.depth.take(path), first
-
-    def mixed(self, slots: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(inputs, gate, log odds of the mix)."""
-        found = self.odds.take(slots)
-        gate = SURE[np.abs(found[1]).view(np.uint8)] * 4 + SURE[np.abs(found[2]).view(np.uint8)]
-        inputs = np.empty((K, len(node)), np.float32)
-        inputs[0] = self.code.odds.take(node)
-        np.multiply(found, np.float32(1 / 16), out=inputs[1:])
-        return inputs, gate, np.einsum("kn,nk->n", inputs, self.weights.take(gate, axis=0))
+    def mixed(self, bits: Bits) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(log odds of the learned predictors in sixteenths, gate, log odds of the mix)."""
+        found = self.odds.take(bits.slots)
+        far = sure(found[1:], SURE)
+        gate = (far[0] * np.uint8(4) + far[1]).astype(np.intp)
+        return found, gate, blend(self.weights.take(gate, axis=0), bits.odds, *found)
 
     @staticmethod
-    def cells(depth: np.ndarray, odds: np.ndarray) -> np.ndarray:
-        level = np.rint(np.clip(odds, -RANGE, RANGE) * np.float32(FINE)).astype(np.int64)
-        return depth * np.int64(2 * RANGE * FINE + 1) + (level + RANGE * FINE)
-
-    def refined(self, depth: np.ndarray, odds: np.ndarray) -> np.ndarray:
+    def cells(bits: Bits, odds: np.ndarray) -> np.ndarray:
+        level = np.clip(odds, np.float32(-RANGE), np.float32(RANGE))
+        level *= np.float32(FINE)
+        np.rint(level, out=level)
+        level += bits.cell  # whole numbers far below 2^24
+        return level.astype(np.intp)
+
+    def refined(self, bits: Bits, odds: np.ndarray) -> np.ndarray:
         """The probability of a one: the mean of the mix and of what came true at that estimate."""
         if self.table is None:
             weight = 1 / (self.cases + STEADY)
-            self.table = np.stack([self.came * weight, 1 + STEADY * weight]).astype(np.float32) / 2
-        p = np.clip(_logistic(odds), np.float32(1e-5), np.float32(1 - 1e-5))
-        cell = self.cells(depth, odds)
-        return np.clip(self.table[0].take(cell) + self.table[1].take(cell) * p, np.float32(1e-6), np.float32(1 - 1e-6))
+            self.table = np.stack([self.came * weight, 1 + STEADY * weight], 1).astype(np.float32) / 2
+        return refine(self.table.take(self.cells(bits, odds), axis=0), odds)
 
     def costs(self, tokens: Tokens) -> np.ndarray:
         """The natural logarithm of each token's probability (of the escape's, if it has no code)."""
         out = np.zeros(len(tokens.symbols))
-        for s in range(0, len(out), STEP):
-            e = min(s + STEP, len(out))
-            slots, node, bit, depth, first = self.bits(tokens, s, e)
-            p = self.refined(depth, self.mixed(slots, node)[2])
-            out[s:e] = np.add.reduceat(np.log(np.where(bit, p, 1 - p)), first, dtype=np.float64)
+        for s in range(0, len(out), COST_STEP):
+            e = min(s + COST_STEP, len(out))
+            bits = Bits(self, tokens, s, e)
+            p = self.refined(bits, self.mixed(bits)[2])
+            p -= bits.zero
+            out[s:e] = bits.sums(np.log(np.abs(p, out=p), out=p))
+        return out
+
+
+class Bits:
+    """All bits of tokens ``s:e``: the first bits of all of them, then the second ones of those that have
+    two, and so on. The tokens with the longest codes come first, so that those with a bit are always the first
+    ``more`` ones. ``slots`` are those of the three learned predictors, ``odds`` those of the exact counts,
+    ``cell`` is where the refinement of a depth is, and ``zero`` is 1 for a zero."""
+
+    def __init__(self, model: Model, tokens: Tokens, s: int, e: int):
+        code, symbols = model.code, tokens.symbols[s:e]
+        length = code.length.take(symbols)
+        self.order = np.argsort(np.uint8(255) - length, kind="stable")
+        path = code.start.take(symbols.take(self.order))
+        topic = tokens.topic[s:e].take(self.order) * model.nodes
+        contexts = tokens.contexts[:, s:e].take(self.order, axis=1)
+        more = len(symbols) - np.cumsum(np.bincount(length, minlength=code.longest + 1))
+        self.more = more[more > 0].tolist()
+        n = sum(self.more)
+        self.slots = np.empty((K - 1, n), np.int64)
+        self.odds, self.zero, self.cell = np.empty((3, n), np.float32)
+        at = 0
+        for depth, some in enumerate(self.more):
+            to = slice(at, at + some)
+            where = path[:some]
+            if depth % 4 == 0:  # what a context has in its next four bits lies side by side
+                hashed = code.group.take(where)
+                base = contexts[:, :some] ^ hashed
+                base *= _ODD
+                base >>= model.shift
+                base <<= np.uint64(4)
+                base += model.tables
+                base = base.view(np.int64)
+            step = code.step.take(where)
+            node = step["at"] & 15
+            np.add(base[:, :some], node, out=self.slots[1:, to])
+            np.right_shift(step["at"], 4, out=node)
+            np.add(node, topic[:some], out=self.slots[0, to])
+            self.odds[to], self.zero[to] = step["odds"], step["zero"]
+            self.cell[to] = min(depth, DEPTHS - 1) * (2 * RANGE * FINE + 1) + RANGE * FINE
+            where += 1
+            at += some
+
+    @property
+    def one(self) -> np.ndarray:
+        return 1 - self.zero.astype(np.int64)
+
+    def sums(self, of_bits: np.ndarray) -> np.ndarray:
+        """Added up for each token, in the tokens' own order."""
+        total, at = np.zeros(len(self.order)), 0
+        for some in self.more:
+            total[:some] += of_bits[at : at + some]
+            at += some
+        out = np.empty(len(total))
+        out[self.order] = total
         return out
 
 
@@ -171,48 +213,76 @@ class Learner:
     """A task's model of the pieces it has seen: predicts each piece before it counts it."""
 
     def __init__(self, model: Model):
-        self.model = model
+        self._model, self.stale = model, False
         self.counts = np.zeros(2 * model.slots, np.float32)
         self.rounds, self.tokens, self.taught = 0, 0, 0.0
 
+    @property
+    def model(self) -> Model:
+        """With the odds of all that has been counted."""
+        if self.stale:
+            set_odds(self._model.odds, self.counts)
+            self.stale = False
+        return self._model
+
     def add(self, tokens: Tokens) -> None:
         model, s, size = self.model, 0, len(tokens.symbols)
         early = not self.tokens
         while s < size:
             e = min(s + (min(max(s, FIRST_STEP), STEP) if early else STEP), size)
-            slots, node, bit, depth, _ = model.bits(tokens, s, e)
+            bits = Bits(model, tokens, s, e)
             if s > 0 or not early:
-                self._correct(slots, node, bit, depth)
-            cells = (slots * 2 + bit).reshape(-1)
+                self._correct(model, bits)
+            slots = bits.slots if early else bits.slots[1:]
+            cells = slots * 2
+            cells += bits.one
+            cells = cells.reshape(-1)
             np.add.at(self.counts, cells, np.ones(len(cells), np.float32))
             if early and e <= 2 * STEP:
                 used = slots.reshape(-1)
                 model.odds[used] = _odds(self.counts.reshape(-1, 2)[used])
             s = e
+        if not early:
+            self._count_topics(model, tokens)
         self.tokens += size
-        for at in range(0, 2 * model.slots, BLOCK):
-            model.odds[at // 2 : (at + BLOCK) // 2] = _odds(self.counts[at : at + BLOCK].reshape(-1, 2))
-
-    def _correct(self, slots, node, bit, depth) -> None:
-        model = self.model
-        inputs, gate, odds = model.mixed(slots, node)
-        error = bit - _logistic(np.clip(odds, -12, 12))
+        self.stale = True
+
+    def _count_topics(self, model: Model, tokens: Tokens) -> None:
+        """Counts the bits of all tokens by topic, those of equal tokens of a topic at once."""
+        code, symbols = model.code, len(model.code.size)
+        times = np.bincount(tokens.topic * symbols + tokens.symbols)
+        some = np.flatnonzero(times)
+        topic, symbol = some // symbols, some % symbols
+        size = code.size[symbol]
+        first = np.cumsum(size) - size
+        path = np.arange(size.sum()) + np.repeat(code.start[symbol] - first, size)
+        cells = (np.repeat(topic * model.nodes, size) + code.node[path]) * 2 + code.bit[path]
+        self.counts[: 2 * model.at[0]] += np.bincount(cells, np.repeat(times[some], size), 2 * model.at[0])
+
+    def _correct(self, model: Model, bits: Bits) -> None:
+        found, gate, odds = model.mixed(bits)
+        cell = model.cells(bits, odds)
+        error = logistic(np.clip(odds, np.float32(-12), np.float32(12), out=odds))
+        np.subtract(1 - bits.zero, error, out=error)
         self.rounds += 1
         rate = 0.5 / np.sqrt(1 + self.rounds / 40)
         total = np.maximum(np.bincount(gate, minlength=GATES), 64)
         for k in range(K):
-            slope = np.bincount(gate, error * inputs[k], GATES) / total
+            slope = np.bincount(gate, error * (found[k - 1] if k else bits.odds), GATES) / (total * (16 if k else 1))
             model.weights[:, k] += (rate * np.clip(slope, -0.2, 0.2)).astype(np.float32)
-        cell = model.cells(depth, odds)
-        model.cases += np.bincount(cell, minlength=CELLS)
-        model.came += np.bincount(cell, bit, CELLS)
-        self.taught += len(bit)
+        cell *= 2
+        cell += bits.one
+        seen = np.bincount(cell, minlength=2 * CELLS)
+        model.cases += seen[::2]
+        model.cases += seen[1::2]
+        model.came += seen[1::2]
+        self.taught += len(cell)
 
     def blocks(self) -> Iterator[pa.RecordBatch]:
         """What the task has learned, as blocks that are added up over all tasks."""
         if not self.tokens:
             return
-        model = self.model
+        model = self._model
         for at in range(0, len(self.counts), 64 * BLOCK):
             yield from as_blocks(self.counts[at : at + 64 * BLOCK].astype(np.float64), BLOCK, at // BLOCK)
         extra = np.zeros(-(-_EXTRA_CELLS // BLOCK) * BLOCK)

@@ -5,7 +5,7 @@ from fixtures import frame, split
 from pyspark.sql import functions as F
 
 from shardloom.llm import context_mixing, lm_scoring, word_mixing
-from shardloom.llm.text import words
+from shardloom.llm.text import kinds, sorting, words
 
 TALE = "the cat sat on a mat while some dog ran over that hill to find its old red ball . "
 
@@ -92,3 +92,59 @@ def test_words_cut_out_are_spelled_as_in_a_text():
     alone = context_mixing.Units.of_words(data, size[1:3], np.ones(2))
     want = learner.model.costs(whole)[whole.of[1:3]]
     assert np.allclose(learner.model.costs(alone), want, atol=1e-6)
+
+
+def test_equal_bytes_in_equal_contexts_are_priced_once_and_cost_the_same(monkeypatch):
+    made = np.random.default_rng(8)
+    text = ["".join(made.choice(["tion", "er", "an", "th", "é", "x"], n)) for n in made.integers(1, 9, 400)]
+    size = np.array([len(t.encode()) for t in text])
+    data = np.frombuffer("".join(text).encode(), np.uint8)
+    learner = context_mixing.Learner()
+    learner.add(context_mixing.Units.of_words(data, size, made.integers(1, 5, len(size))))
+    model, plain, priced = learner.model, context_mixing.Model.mixed, []
+    start = np.cumsum(size) - size
+    want = [
+        model.costs(context_mixing.Units.of_words(data[s : s + n], size[k : k + 1], np.ones(1)))[0]
+        for k, (s, n) in enumerate(zip(start, size))
+    ]
+    monkeypatch.setattr(context_mixing.Model, "mixed", lambda m, slots: priced.append(slots.shape[1]) or plain(m, slots))
+    got = model.costs(context_mixing.Units.of_words(data, size, np.ones(len(size))))
+    assert np.allclose(got, want, atol=1e-12)
+    different = {(t[max(k - 6, 0) : k], min(k, 6), t[k]) for t in ((" " + t + " ").encode() for t in text) for k in range(1, len(t))}
+    assert sum(priced) == 8 * len(different) < 8 * (size + 1).sum() / 2
+
+
+def test_tokens_cost_the_same_together_and_one_by_one():
+    made = np.random.default_rng(9).integers(0, 70, 700)
+    model = taught(list(range(70)), made).model
+    tokens = tokens_of(made)
+    alone = tokens_of(made[:1])
+    want = []
+    for k in range(len(made)):
+        alone.symbols, alone.topic, alone.contexts = made[k : k + 1], tokens.topic[k : k + 1], tokens.contexts[:, k : k + 1]
+        want.append(model.costs(alone)[0])
+    assert np.allclose(model.costs(tokens), want, atol=1e-12)
+
+
+def test_topics_are_counted_as_bit_by_bit():
+    made = np.random.default_rng(10).integers(0, 9, 500)
+    topic = np.random.default_rng(11).integers(0, 2, 500)
+    learner = word_mixing.Learner(word_mixing.Model(word_mixing.Code(np.full(9, 30.0)), 2, 16))
+    code, nodes = learner.model.code, learner.model.nodes
+    for _ in range(2):  # the first piece is counted bit by bit, others by equal tokens of a topic
+        learner.add(tokens_of(made, topic))
+    want = np.zeros((2 * nodes, 2))
+    for s, t in zip(made, topic):
+        path = slice(code.start[s], code.start[s] + code.size[s])
+        want[t * nodes + code.node[path], code.bit[path]] += 2
+    assert (learner.counts[: 4 * nodes].reshape(-1, 2) == want).all()
+
+
+@pytest.mark.parametrize("shift", [0, 1, 40])
+def test_digests_are_sorted_by_all_their_bits(shift):
+    made = np.random.default_rng(12).integers(0, 300, 2000).astype(np.uint64) << np.uint64(shift)
+    assert (sorting(made) == np.argsort(made, kind="stable")).all()
+    first, of, times = kinds(made)
+    values, want, inverse, n = np.unique(made, return_index=True, return_inverse=True, return_counts=True)
+    assert (first == want).all() and (of == inverse).all() and (times == n).all()
+    assert len(sorting(made[:0])) == 0 and [len(x) for x in kinds(made[:0])] == [0, 0, 0]
