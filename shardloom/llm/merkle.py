@@ -8,7 +8,8 @@ node's siblings at a level are the two substrings that flank it inside its run o
 block roots are the next round's nodes, so the rounds recurse until every group has one node left,
 its subroot. Subroots, ordered by group, form one more tree whose last node is the root. Sibling
 segments are then handed down: every block meets the segments of its own root once, by a 1:1 join, and
-unfolds them to its nodes. All work is in SQL expressions; nothing is collected.
+unfolds them to its nodes, where each node's own segments are cut out. Until then a block is stored and
+dealt out with every digest once. All work is in SQL expressions; nothing is collected.
 
 Rules (``H``: lowercase hex SHA-256 of the UTF-8 of its inputs concatenated, digests as hex text):
 
@@ -122,8 +123,10 @@ def _numbered(df: DataFrame, order: Sequence[Column]) -> DataFrame:
 
 
 def _blocks(nodes: DataFrame, levels: int) -> DataFrame:
-    """Blocks of 512 nodes (``_g``, ``_pos``, ``_n``, ``_h``, optional ``_p``) with their level strings,
-    the levels settled here (``_d``), the block's root, and every node's sibling segments in it."""
+    """Blocks of 8^levels nodes (``_g``, ``_pos``, ``_n``, ``_h``, optional ``_p``): the nodes in order,
+    the levels settled here (``_d``), the block's root, and the strings of the levels between
+    (``_lines``, level 1 first). A digest is held once; what a node's siblings are is cut out of the
+    nodes and the lines by :func:`_unfolded`, because written out it is about 1.3 KB a node."""
     member = ["_pos", "_h"] + (["_p"] if "_p" in nodes.columns else [])
     grouped = nodes.groupBy("_g", F.shiftright("_pos", levels * 3).alias("_b")).agg(
         F.max("_n").alias("_n"),
@@ -138,32 +141,50 @@ def _blocks(nodes: DataFrame, levels: int) -> DataFrame:
     grouped = grouped.select("_g", "_b", "_n", "_nodes", height.alias("_height"), depth.alias("_d"), level0.alias("_l0"))
     for k in range(1, levels + 1):
         grouped = grouped.withColumn(f"_l{k}", F.when(F.col("_d") >= k, _up(F.col(f"_l{k - 1}"))))
-    lines = F.array(*[F.col(f"_l{k}") for k in range(levels + 1)])
-    grouped = grouped.withColumn("_levels", lines).withColumn("_root", F.element_at("_levels", F.col("_d") + 1))
+    every = F.array(*[F.col(f"_l{k}") for k in range(levels + 1)])
+    between = F.array(*[F.col(f"_l{k}") for k in range(1, levels)]).cast("array<string>")
+    grouped = grouped.withColumn("_root", F.element_at(every, F.col("_d") + 1))
+    more = F.col("_height") > F.col("_d")
+    return grouped.select("_g", "_b", "_n", "_d", more.alias("_more"), "_root", between.alias("_lines"), "_nodes")
+
+
+def _segment(line: Column, start: Column, i: Column, end: Column) -> Column:
+    """The digests of ``line`` from ``start`` up to ``i``, and those behind ``i`` up to ``end``."""
+    return F.struct(
+        line.substr(start * HEX + 1, (i - start) * HEX).alias("l"),
+        line.substr((i + 1) * HEX + 1, (end - i - 1) * HEX).alias("r"),
+    )
+
 
-    def segments(node: Column) -> Column:
-        local = node["_pos"] - F.shiftleft(F.col("_b"), levels * 3)
+def _unfolded(blocks: DataFrame, levels: int) -> DataFrame:
+    """Every node of ``blocks`` with its sibling segments (``_s``): those in its block and those of the
+    block's root (``_up``). A block goes to its runs of eight first: a run's nodes share all segments
+    but the lowest, which is cut out of the run's own 512 characters."""
+    runs = F.floor((F.size("_nodes") + FAN - 1) / FAN).cast("int")
 
+    def run(j: Column) -> Column:
         def at(k: Column) -> Column:
-            line = F.element_at(F.col("_levels"), k + 1)
-            i = F.floor(local / F.pow(F.lit(float(FAN)), k)).cast("long")
+            line = F.element_at(F.col("_lines"), k)
+            i = F.floor(j / F.pow(F.lit(float(FAN)), k - 1)).cast("int")
             start = F.shiftleft(F.shiftright(i, 3), 3)
-            end = F.least(start + FAN, F.floor(F.length(line) / HEX))
-            return F.struct(
-                line.substr((start * HEX + 1).cast("int"), ((i - start) * HEX).cast("int")).alias("l"),
-                line.substr(((i + 1) * HEX + 1).cast("int"), ((end - i - 1) * HEX).cast("int")).alias("r"),
-            )
-
-        return F.transform(F.slice(F.sequence(F.lit(0), F.lit(levels - 1)), 1, F.col("_d")), at)
-
-    carried = [node_field for node_field in member if node_field != "_h"]
-    nodes_out = F.transform(
-        "_nodes",
-        lambda x: F.struct(*[x[c].alias(c) for c in carried], x["_h"].alias("_h"), segments(x).alias("_s")),
-    )
-    return grouped.select(
-        "_g", "_b", "_n", "_d", (F.col("_height") > F.col("_d")).alias("_more"), "_root", nodes_out.alias("_nodes")
-    )
+            return _segment(line, start, i, F.least(start + FAN, F.floor(F.length(line) / HEX).cast("int")))
+
+        between = F.filter(F.array(*[F.lit(k) for k in range(1, levels)]).cast("array<int>"), lambda k: k < F.col("_d"))
+        return F.struct(
+            F.slice("_nodes", j * FAN + 1, F.lit(FAN)).alias("_run"),
+            F.concat(F.transform(between, at), F.col("_up")).alias("_above"),
+        )
+
+    by_run = blocks.select("_g", "_sub", "_top", "_d", F.inline(F.transform(F.sequence(F.lit(0), runs - 1), run)))
+    by_run = by_run.withColumn("_line", F.array_join(F.transform("_run", lambda x: x["_h"]), ""))
+
+    def node(x: Column, i: Column) -> Column:
+        own = F.array(_segment(F.col("_line"), F.lit(0), i, F.size("_run")))
+        # A group of one node has no level of its own.
+        segments = F.when(F.col("_d") > 0, F.concat(own, F.col("_above"))).otherwise(F.col("_above"))
+        return x.withField("_s", segments)
+
+    return by_run.select("_g", "_sub", "_top", F.inline(F.transform("_run", node)))
 
 
 def _tree(nodes: DataFrame, levels: int) -> tuple[list[DataFrame], DataFrame]:
@@ -193,7 +214,7 @@ def _tree(nodes: DataFrame, levels: int) -> tuple[list[DataFrame], DataFrame]:
     return rounds, last
 
 
-def _down(rounds: list[DataFrame], tops: DataFrame) -> DataFrame:
+def _down(rounds: list[DataFrame], tops: DataFrame, levels: int) -> DataFrame:
     """Every node of round 0 with all its sibling segments up to the root (``_s``), and the carried
     ``_sub`` and ``_top`` of ``tops`` (``_g``, ``_round``, ``_s``, ``_sub``, ``_top``: segments above
     each group's last node)."""
@@ -202,7 +223,7 @@ def _down(rounds: list[DataFrame], tops: DataFrame) -> DataFrame:
         ends = tops.filter(F.col("_round") == r).select("_g", F.lit(0).cast("long").alias("_b"), "_s", "_sub", "_top")
         joined_to = ends if above is None else above.unionByName(ends)
         met = rounds[r].join(joined_to.withColumnRenamed("_s", "_up"), ["_g", "_b"])
-        unfolded = met.select("_g", "_sub", "_top", F.inline(F.transform("_nodes", lambda x: x.withField("_s", F.concat(x["_s"], F.col("_up"))))))
+        unfolded = _unfolded(met, levels)
         if r == 0:
             return unfolded
         above = stored(unfolded.select("_g", F.col("_pos").alias("_b"), "_s", "_sub", "_top"), "merkle")
@@ -242,10 +263,10 @@ def build(
     top_rounds, root = _tree(top_nodes, levels)
     empty = F.array().cast("array<struct<l:string,r:string>>")
     top_tops = root.select("_g", "_round", empty.alias("_s"), F.col("_h").alias("_sub"), F.col("_h").alias("_top"))
-    groups = _down(top_rounds, top_tops).select(
+    groups = _down(top_rounds, top_tops, levels).select(
         F.col("_p._group").alias("_g"), F.col("_p._round").alias("_round"), "_s", F.col("_h").alias("_sub"), F.col("_sub").alias("_top")
     )
-    unfolded = _down(rounds, groups)
+    unfolded = _down(rounds, groups, levels)
 
     fold = F.aggregate("_s", F.col("_p._alt"), lambda cur, s: F.sha2(F.concat(s["l"], cur, s["r"]), 256))
     proof = F.array_join(F.transform("_s", lambda s: F.concat(s["l"], s["r"])), "")

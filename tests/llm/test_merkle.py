@@ -137,6 +137,29 @@ def test_clashing_columns_pass_unchanged(spark):
     assert values[3]["leaf"] == leaf(dict(zip(("doc_id", "text", "lang", "source", "n_chars"), rows[3])))
 
 
+def test_stored_blocks_hold_a_digest_once(spark, monkeypatch):
+    """Blocks are written, dealt out and sorted as rows of 512 nodes; with every node's siblings spelled
+    out such a row took some 700 KB, and tasks that held a few of them ran out of memory."""
+    frames = []
+
+    def recorded(df, purpose, store=merkle.stored):
+        frames.append(store(df, purpose))
+        return frames[-1]
+
+    monkeypatch.setattr(merkle, "stored", recorded)
+    rows = [doc(k, f"Text {k}", lang="a" if k < 1100 else "b") for k in range(1109)]
+    got = spark_rows(run(spark, rows))
+    blocks = [f for f in frames if "_nodes" in f.columns]
+    assert sum(f.filter(F.size("_nodes") == 512).count() for f in blocks) == 2
+    for f in blocks:
+        payload = ["_p"] if "_p" in f.schema["_nodes"].dataType.elementType.names else []
+        bare = f.withColumn("_nodes", F.transform("_nodes", lambda x: x.dropFields(*payload) if payload else x))
+        text = F.to_json(F.struct(*bare.columns))
+        for r in bare.select(F.octet_length(text).alias("size"), F.size("_nodes").alias("n")).collect():
+            assert r["size"] <= 1000 + 200 * r["n"]
+    assert got == plain(rows, tamper_every_third)
+
+
 def test_query_on_testdata(spark):
     import pyarrow.parquet as pq
 
